@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from changeflow.plans import queries_format  # noqa: F401
+from changeflow.plans import (  # noqa: F401
+    queries_audit,
+    queries_changelog,
+    queries_format,
+    queries_monitor,
+    queries_route,
+)
 from changeflow.plans.registry import QUERIES
 
 __all__ = ["QUERIES"]

@@ -52,12 +52,13 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
     return customer_rows(read_parquet_table(spark, folder, "customer"))
 
 
-def outbox(events: DataFrame) -> DataFrame:
+def outbox(events: DataFrame, *more: str) -> DataFrame:
     return events.select(
         F.col("event_id").alias("id"),
         F.col("event_type").alias("destination"),
         F.col("props").alias("payload"),
         F.col("ts").alias("created_at"),
+        *more,
     )
 
 
@@ -250,16 +251,17 @@ def emitted_orders(orders: DataFrame) -> DataFrame:
 
 def emitted_outbox(events: DataFrame) -> DataFrame:
     """Emitted outbox records with faults: small values missing, large ones twice, some much later than their turn."""
-    kept = outbox(events).withColumn("_value", events["value"]).where(F.col("_value") >= 0.5)
-    copies = F.when(F.col("_value") >= 200, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    late = F.when(F.col("_value").between(100, 110), F.lit(35)).otherwise(F.lit(0))
-    return kept.select("*", F.explode(copies).alias("copy")).select(
+    value = F.col("value")
+    late = F.when(value.between(100, 110), F.lit(35)).otherwise(F.lit(0))
+    copies = F.when(value >= 200, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    kept = events.where(value >= 0.5).withColumns({"late": late, "copies": copies})
+    return outbox(kept, "late", "copies").select("*", F.explode("copies").alias("copy")).select(
         "id",
         "destination",
         "payload",
         "created_at",
         # A late record takes an offset between those of later ids; no two records share one.
-        (F.col("id") * 10 + late + F.col("copy")).alias("offset"),
+        (F.col("id") * 10 + F.col("late") + F.col("copy")).alias("offset"),
     )
 
 
