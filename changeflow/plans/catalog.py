@@ -8,6 +8,7 @@ from changeflow.plans import (  # noqa: F401
     queries_format,
     queries_monitor,
     queries_route,
+    queries_stream,
 )
 from changeflow.plans.registry import QUERIES
 
