@@ -5,6 +5,7 @@ from __future__ import annotations
 from changeflow.plans import (  # noqa: F401
     queries_audit,
     queries_changelog,
+    queries_declared,
     queries_format,
     queries_monitor,
     queries_route,

@@ -40,7 +40,7 @@ MIDDLE = f"TIMESTAMP '{derived.SCHEMA_CHANGE}'"
 # --- sources ------------------------------------------------------------------------------------------------------
 
 
-def _written_log(spark: SparkSession, folder: str) -> str:
+def written_log(spark: SparkSession, folder: str) -> str:
     """The change log of the database as files of topic records in the shared working folder."""
     path = work_dir(spark, "changelog")
     log = derived.database_log(spark, folder)
@@ -59,7 +59,7 @@ def _written_log(spark: SparkSession, folder: str) -> str:
 @query("src_changelog_multi", with_inputs("f_ord", "f_cust", "f_out", select=DATABASE_ROWS))
 def _(spark: SparkSession, folder: str) -> DataFrame:
     tables = ["shop.orders", "shop.customers", "shop.outbox_events"]
-    log = read_changelog(spark, _written_log(spark, folder), tables)
+    log = read_changelog(spark, written_log(spark, folder), tables)
     return parse_envelope(log, "id BIGINT").select(
         F.col("source")["table"].alias("table_name"), "op", F.col("after")["id"].alias("id")
     )
@@ -73,7 +73,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    log = read_outbox(spark, _written_log(spark, folder), "shop")
+    log = read_outbox(spark, written_log(spark, folder), "shop")
     return read_table(log, OUTBOX_EVENTS).drop("op", "pos")
 
 

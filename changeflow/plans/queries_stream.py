@@ -139,15 +139,14 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 def _(spark: SparkSession, folder: str) -> DataFrame:
     target, options = _unit(spark, "recovery")
     changes = derived.outbox_envelopes(read_parquet_stream(spark, folder, "events"))
-    ran = write_append(changes, "shop.recovery", target, options)
-    ran.awaitTermination()
+    write_append(changes, "shop.recovery", target, options).awaitTermination()
     # The commit log of the query, one file per batch, is there after it has ended.
-    commits = spark.read.text(f"{options.checkpoint}/commits").agg((F.count("*") > 0).alias("checkpoint_kept"))
-    written = read_topic(spark, target).agg(F.count("*").alias("records"))
-    return (
-        written.withColumn("one", F.lit(1))
-        .join(commits.withColumn("one", F.lit(1)), "one")
-        .select(F.lit(ran.name or options.query_name).alias("query_name"), "records", "checkpoint_kept")
+    commits = spark.read.text(f"{options.checkpoint}/commits").select(F.lit(0).alias("record"), F.lit(1).alias("commit"))
+    records = read_topic(spark, target).select(F.lit(1).alias("record"), F.lit(0).alias("commit"))
+    return records.unionAll(commits).agg(
+        F.lit(options.query_name).alias("query_name"),
+        F.sum("record").alias("records"),
+        (F.sum("commit") > 0).alias("checkpoint_kept"),
     )
 
 
