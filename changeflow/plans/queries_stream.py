@@ -17,6 +17,7 @@ from changeflow.plans.registry import query
 from changeflow.session import work_dir
 from changeflow.sources import derived
 from changeflow.sources.tables import CUSTOMERS, ORDERS, read_parquet_stream, read_table
+from changeflow.streaming.live import counter_growth_live, lifecycle_live, read_state, silence_live, write_state
 from changeflow.streaming.sinks import (
     FileTarget,
     Statement,
@@ -199,3 +200,79 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     )
     write_routed(records, target, options).awaitTermination()
     return parse_flat(read_topic(spark, target), "id BIGINT, destination STRING").select("row.*")
+
+
+# --- live state ---------------------------------------------------------------------------------------------------
+
+
+@query(
+    "current_state_live",
+    with_inputs(
+        "f_log", select=FOLD.format(cols="id, after_amount AS amount, after_status AS status", where="", live="AND op <> 'd'")
+    ),
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    target, options = _unit(spark, "state")
+    changes = derived.account_upserts(read_parquet_stream(spark, folder, "events"))
+    columns = ["id", "amount", "status"]
+    write_state(changes, ["id"], columns, "pos", F.col("op") == "d", "accounts", target, options).awaitTermination()
+    return parse_flat(read_state(spark, target, "accounts"), derived.ACCOUNT_ROW).select("row.*")
+
+
+def _run(records: DataFrame, spark: SparkSession, suffix: str) -> DataFrame:
+    target, options = _unit(spark, suffix)
+    write_append(records, suffix, target, options).awaitTermination()
+    return read_topic(spark, target, suffix)
+
+
+@query(
+    "lifecycle_live",
+    """SELECT id, pos, prev_op, op FROM (
+            SELECT user_id AS id, event_id AS pos, op, lag(op) OVER (PARTITION BY user_id ORDER BY event_id) AS prev_op
+            FROM (SELECT *, CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS op FROM events) e
+        ) x WHERE CASE WHEN prev_op IN ('c', 'u') THEN op = 'c' ELSE op <> 'c' END""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    found = lifecycle_live(derived.claimed_ops(read_parquet_stream(spark, folder, "events", 1)), "id")
+    texts = found.select(F.to_json(F.struct("id", "pos", "prev_op", "op")).alias("value"))
+    return parse_flat(_run(texts, spark, "lifecycle"), "id BIGINT, pos BIGINT, prev_op STRING, op STRING").select("row.*")
+
+
+# The last watermark: a minute that ends after it is still open when the stream ends.
+_CLOSED = "time_bucket(INTERVAL 1 MINUTE, ts) + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE"
+
+
+@query(
+    "silence_live",
+    f"""SELECT job_name, minute + INTERVAL 1 MINUTE AS silent_from, following AS silent_until
+        FROM (SELECT *, lead(minute) OVER (PARTITION BY job_name ORDER BY minute) AS following
+            FROM (SELECT DISTINCT event_type AS job_name, time_bucket(INTERVAL 1 MINUTE, ts) AS minute FROM events
+                WHERE {_CLOSED}) a) b
+        WHERE following > minute + INTERVAL 1 MINUTE""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    found = silence_live(read_parquet_stream(spark, folder, "events"), "event_type", "ts")
+    texts = found.select(F.to_json(F.struct("job_name", "silent_from", "silent_until")).alias("value"))
+    rows = parse_flat(_run(texts, spark, "silence"), "job_name STRING, silent_from TIMESTAMP, silent_until TIMESTAMP")
+    # Spans reported while they lasted depend on where the batches were cut; the ended ones do not.
+    return rows.select("row.*").where(F.col("silent_until").isNotNull()).select(
+        "job_name", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("silent_from", "silent_until")]
+    )
+
+
+@query(
+    "counter_growth_live",
+    f"""SELECT job_name, minute, CAST(sum(v - COALESCE(p, v)) AS BIGINT) AS growth FROM (
+            SELECT event_type AS job_name, time_bucket(INTERVAL 1 MINUTE, ts) AS minute, event_id AS v,
+                lag(event_id) OVER (PARTITION BY event_type ORDER BY ts) AS p FROM events WHERE {_CLOSED}) a
+        GROUP BY 1, 2""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    # The event number as a counter that every job reports.
+    samples = read_parquet_stream(spark, folder, "events").select(
+        F.col("event_type").alias("job_name"), "ts", F.col("event_id").alias("counter")
+    )
+    found = counter_growth_live(samples, "counter")
+    texts = found.select(F.to_json(F.struct("job_name", "minute", "growth")).alias("value"))
+    rows = parse_flat(_run(texts, spark, "growth"), "job_name STRING, minute TIMESTAMP, growth BIGINT")
+    return rows.select("row.job_name", F.col("row.minute").cast("timestamp_ntz").alias("minute"), "row.growth")

@@ -139,7 +139,11 @@ class Statement:
 
 
 def run_statement_set(
-    source: DataFrame, statements: list[Statement], target: Target, options: StreamOptions
+    source: DataFrame,
+    statements: list[Statement],
+    target: Target,
+    options: StreamOptions,
+    output_mode: str = "append",
 ) -> StreamingQuery:
     """Feed several sinks from one source with one checkpoint.
 
@@ -158,7 +162,7 @@ def run_statement_set(
         finally:
             batch.unpersist()
 
-    return options.apply(source.writeStream.foreachBatch(write)).start()
+    return options.apply(source.writeStream.outputMode(output_mode).foreachBatch(write)).start()
 
 
 def _write_batch(records: DataFrame, topic: str, target: Target, batch_id: int) -> None:
