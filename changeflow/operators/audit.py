@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeflow.functions.jsonvalue import canonical_json, field_text, json_map
+from changeflow.functions.jsonvalue import JsonObject, canonical_json, json_object
 from changeflow.functions.topics import topic_name
 from changeflow.operators.changelog import compact
 from changeflow.operators.keyed_order import CHUNK_WIDTH, position_chunk, previous_in_key
@@ -22,6 +22,10 @@ def _count(condition: Column) -> Column:
     return F.count_if(condition).cast("bigint")
 
 
+def _found() -> JsonObject:
+    return JsonObject(F.col("_object"))
+
+
 # --- parity -------------------------------------------------------------------------------------------------------
 
 
@@ -196,11 +200,11 @@ def lifecycle_violations(df: DataFrame, key: list[str], pos: str, op: str = "op"
 
 def field_report(df: DataFrame, required: list[str], value: str = "value", by: str = "topic") -> DataFrame:
     """Per topic and required field: records, valid JSON objects, and how many carry the field."""
-    parsed = df.select(by, json_map(F.col(value)).alias("_fields"))
+    parsed = df.select(by, json_object(F.col(value)).column.alias("_object"))
     carried = parsed.groupBy(by).agg(
         F.count("*").cast("bigint").alias("records"),
-        _count(F.col("_fields").isNotNull()).alias("objects"),
-        *[_count(F.map_contains_key("_fields", name)).alias(f"_has_{i}") for i, name in enumerate(required)],
+        _count(F.col("_object").isNotNull()).alias("objects"),
+        *[_count(_found().has(name)).alias(f"_has_{i}") for i, name in enumerate(required)],
     )
     per_field = F.array(
         *[F.struct(F.lit(name).alias("field"), F.col(f"_has_{i}").alias("present")) for i, name in enumerate(required)]
@@ -212,9 +216,9 @@ def field_report(df: DataFrame, required: list[str], value: str = "value", by: s
 
 def null_report(df: DataFrame, field: str, value: str = "value", by: str = "topic") -> DataFrame:
     """Per topic: objects where the field is absent, present with a null, and present with a value."""
-    parsed = df.select(by, json_map(F.col(value)).alias("_fields")).where(F.col("_fields").isNotNull())
-    has = F.map_contains_key("_fields", field)
-    is_null = F.is_variant_null(F.try_element_at("_fields", F.lit(field)))
+    parsed = df.select(by, json_object(F.col(value)).column.alias("_object")).where(F.col("_object").isNotNull())
+    has = _found().has(field)
+    is_null = _found().has_null(field)
     return parsed.groupBy(by).agg(
         _count(~has).alias("absent"),
         _count(has & is_null).alias("explicit_null"),
@@ -244,15 +248,15 @@ def connector_contract(variant: str) -> Contract:
 def contract_report(df: DataFrame, contracts: dict[str, Contract], value: str = "value") -> DataFrame:
     """Per topic with a contract: records and records that break it. Tombstones carry no fields and are not counted."""
     parsed = df.where(F.col("topic").isin(*contracts) & F.col(value).isNotNull()).select(
-        "topic", json_map(F.col(value)).alias("_fields")
+        "topic", json_object(F.col(value)).column.alias("_object")
     )
     kept = F.lit(False)
     for topic, contract in contracts.items():
-        rules = [F.col("_fields").isNotNull()]
+        rules = [F.col("_object").isNotNull()]
         for name, fixed in contract.required.items():
-            found = field_text(F.col("_fields"), name, None)
+            found = _found().text(name, default=None)
             rules.append(found.isNotNull() if fixed is None else found.eqNullSafe(F.lit(fixed)))
-        rules += [~F.map_contains_key("_fields", name) for name in contract.forbidden]
+        rules += [~_found().has(name) for name in contract.forbidden]
         kept = F.when(F.col("topic") == topic, reduce(Column.__and__, rules)).otherwise(kept)
     return (
         parsed.withColumn("_kept", F.coalesce(kept, F.lit(False)))
@@ -268,9 +272,9 @@ def evolution_report(df: DataFrame, field: str, changed: Column, value: str = "v
     """
     parsed = df.select(
         F.when(changed, F.lit("after")).otherwise(F.lit("before")).alias("phase"),
-        json_map(F.col(value)).alias("_fields"),
-    ).where(F.col("_fields").isNotNull())
-    has = F.map_contains_key("_fields", field)
+        json_object(F.col(value)).column.alias("_object"),
+    ).where(F.col("_object").isNotNull())
+    has = _found().has(field)
     return parsed.groupBy("phase").agg(
         F.count("*").cast("bigint").alias("records"),
         _count(has).alias("with_field"),
@@ -288,7 +292,7 @@ def routing_report(df: DataFrame, prefix: str, destination: str = "destination")
 
 def malformed(df: DataFrame, value: str = "value") -> DataFrame:
     """The records whose value is text but no JSON object."""
-    return df.where(F.col(value).isNotNull() & json_map(F.col(value)).isNull())
+    return df.where(F.col(value).isNotNull() & ~json_object(F.col(value)).exists())
 
 
 def malformed_report(df: DataFrame, ts: str, bucket: str, offset: str = "offset", value: str = "value") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeflow.functions.jsonvalue import field_text, json_map
+from changeflow.functions.jsonvalue import JsonObject, json_object
 from changeflow.operators.keyed_order import CHUNK_WIDTH, number_in_key, position_chunk
 
 
@@ -63,13 +63,14 @@ def evolve(df: DataFrame, row: T.StructType | str, value: str = "value") -> Data
     from one that was written.
     """
     schema = T.StructType.fromDDL(row) if isinstance(row, str) else row
-    parsed = df.withColumn("_fields", json_map(F.col(value)))
+    parsed = df.withColumn("_object", json_object(F.col(value)).column)
+    found = JsonObject(F.col("_object"))
     columns: dict[str, Column] = {}
     for field in schema.fields:
-        text = field_text(F.col("_fields"), field.name, default=None)
+        text = found.text(field.name, default=None)
         columns[field.name] = text if isinstance(field.dataType, T.StringType) else text.try_cast(field.dataType)
-        columns[f"has_{field.name}"] = F.coalesce(F.map_contains_key("_fields", field.name), F.lit(False))
-    return parsed.withColumns(columns).drop("_fields")
+        columns[f"has_{field.name}"] = found.has(field.name)
+    return parsed.withColumns(columns).drop("_object")
 
 
 def evolve_tables(versions: list[DataFrame]) -> DataFrame:

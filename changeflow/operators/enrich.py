@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.functions.jsonvalue import UNKNOWN, json_map, put_fields
+from changeflow.functions.jsonvalue import put_fields, put_text, row_object, with_object
 from changeflow.functions.topics import topic_for_table
-from changeflow.operators.route import table_name
+from changeflow.operators.route import json_table, map_table, now_millis, struct_table, with_fields
 
 # The tag of the multi-table change stream and the tail of its only topic.
 STREAM_TAG = "datastream-cdc"
@@ -25,17 +25,8 @@ def tag_event(df: DataFrame, prefix: str, value: str = "value") -> DataFrame:
     Events of every table get the same topic.
     """
     tags = {"variant": F.lit(STREAM_TAG), "topic": F.lit(f"{prefix}.{STREAM_TOPIC_TAIL}")}
-    return _replace_text(df, value, tags)
-
-
-def _replace_text(df: DataFrame, value: str, new: dict[str, Column]) -> DataFrame:
-    parsed = df.withColumn("_fields", json_map(F.col(value)))
-    return put_text(parsed, value, new).drop("_fields")
-
-
-def put_text(df: DataFrame, value: str, new: dict[str, Column]) -> DataFrame:
-    """Write ``_fields`` with the new ones over ``value``, which stays as it is where there was no object."""
-    return df.withColumn(value, F.coalesce(F.to_json(put_fields(F.col("_fields"), new)), F.col(value)))
+    tagged = put_text(F.col(value), tags)
+    return with_object(df, value).withColumn(value, tagged).drop("_object", "_whole")
 
 
 def _required(**settings: str) -> None:
@@ -44,15 +35,13 @@ def _required(**settings: str) -> None:
             raise ValueError(f"{name} must be set to a non-blank value")
 
 
-def _metadata(variant: str, topic: Column, now: Column) -> dict[str, Column]:
-    return {"variant": F.lit(variant), "topic": topic, "transformed_at": now.cast("bigint")}
+def _metadata(variant: str, now: Column | int | None) -> dict[str, Column]:
+    return {"variant": F.lit(variant), "topic": F.col("topic"), "transformed_at": now_millis(now)}
 
 
-def _now(now: Column | int | None) -> Column:
-    # On a stream this is the time of the micro-batch.
-    if now is None:
-        return F.unix_millis(F.current_timestamp())
-    return F.lit(now) if isinstance(now, int) else now
+def _routed(df: DataFrame, prefix: str, table: Column) -> DataFrame:
+    topic = F.when(F.col("value").isNull(), F.col("topic")).otherwise(topic_for_table(prefix, table))
+    return df.withColumn("topic", topic)
 
 
 def enrich_json(df: DataFrame, variant: str, prefix: str, now: Column | int | None = None) -> DataFrame:
@@ -61,52 +50,20 @@ def enrich_json(df: DataFrame, variant: str, prefix: str, now: Column | int | No
     A text that is no JSON object keeps its value and goes to ``<prefix>.unknown``; a null value keeps its topic too.
     """
     _required(variant=variant, prefix=prefix)
-    parsed = df.withColumn("_fields", json_map(F.col("value")))
-    routed = parsed.withColumn(
-        "topic",
-        F.when(F.col("value").isNull(), F.col("topic")).otherwise(
-            topic_for_table(prefix, table_name(F.col("_fields"), "json"))
-        ),
-    )
-    return put_text(routed, "value", _metadata(variant, F.col("topic"), _now(now))).drop("_fields")
+    routed = _routed(with_object(df), prefix, json_table(row_object()))
+    enriched = put_text(F.col("value"), _metadata(variant, now))
+    return routed.withColumn("value", enriched).drop("_object", "_whole")
 
 
 def enrich_struct(df: DataFrame, variant: str, prefix: str, now: Column | int | None = None) -> DataFrame:
     """The same for struct records: three nullable fields join the value."""
     _required(variant=variant, prefix=prefix)
-    value = F.col("value")
-    fields = df.schema["value"].dataType
-    topic = topic_for_table(prefix, table_name(value, "struct", fields))
-    routed = df.withColumn("topic", F.when(value.isNull(), F.col("topic")).otherwise(topic))
-    new = {"variant": F.lit(variant), "topic": F.col("topic"), "transformed_at": _now(now).cast("bigint")}
-    return routed.withColumn("value", F.when(value.isNotNull(), with_fields(value, new)))
-
-
-def with_fields(value: Column, new: dict[str, Column]) -> Column:
-    for name, column in new.items():
-        # Nullable, as fields added later are.
-        value = value.withField(name, F.when(F.lit(True), column))
-    return value
+    routed = _routed(df, prefix, struct_table(F.col("value"), df.schema["value"].dataType))
+    return routed.withColumn("value", with_fields(F.col("value"), _metadata(variant, now)))
 
 
 def enrich_map(df: DataFrame, variant: str, prefix: str, now: Column | int | None = None) -> DataFrame:
     """The same for ``map<string,variant>`` records."""
     _required(variant=variant, prefix=prefix)
-    value = F.col("value")
-    topic = topic_for_table(prefix, table_name(value, "map"))
-    routed = df.withColumn("topic", F.when(value.isNull(), F.col("topic")).otherwise(topic))
-    return routed.withColumn("value", put_fields(value, _metadata(variant, F.col("topic"), _now(now))))
-
-
-__all__ = [
-    "STREAM_TAG",
-    "STREAM_TOPIC_TAIL",
-    "UNKNOWN",
-    "enrich_json",
-    "enrich_map",
-    "enrich_struct",
-    "project_tagged",
-    "put_text",
-    "tag_event",
-    "with_fields",
-]
+    routed = _routed(df, prefix, map_table(F.col("value")))
+    return routed.withColumn("value", put_fields(F.col("value"), _metadata(variant, now)))

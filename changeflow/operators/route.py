@@ -8,11 +8,15 @@ from pyspark.sql import types as T
 
 from changeflow.functions.jsonvalue import (
     UNKNOWN,
+    JsonObject,
     extract_text_field,
-    field_text,
-    json_map,
+    json_object,
+    map_text,
     nested_map,
     put_fields,
+    put_text,
+    row_object,
+    with_object,
 )
 from changeflow.functions.topics import topic_for_table, topic_name
 
@@ -24,81 +28,101 @@ OUTBOX_FIELD = "destination"
 OUTBOX_TOPIC_TAIL = "outbox.outbox-events"
 
 
-def _inner(fields: Column, name: str) -> Column:
+def now_millis(now: Column | int | None) -> Column:
+    """``now`` as epoch milliseconds; without one, the time of the query or of the micro-batch."""
+    if now is None:
+        return F.unix_millis(F.current_timestamp())
+    return (F.lit(now) if isinstance(now, int) else now).cast("bigint")
+
+
+def with_fields(value: Column, new: dict[str, Column]) -> Column:
+    """A struct with nullable fields added; a null struct stays null."""
+    wider = value
+    for name, column in new.items():
+        wider = wider.withField(name, F.when(F.lit(True), column))
+    return F.when(value.isNotNull(), wider)
+
+
+def _map_inside(fields: Column, name: str) -> Column:
     return nested_map(F.try_element_at(fields, F.lit(name)))
 
 
-def table_name(value: Column, kind: str, struct: T.StructType | None = None) -> Column:
-    """The table a record comes from, ``unknown`` where it does not say.
+def _struct_inside(struct: T.DataType | None, name: str) -> T.StructType | None:
+    inside = struct[name].dataType if isinstance(struct, T.StructType) and name in struct.names else None
+    return inside if isinstance(inside, T.StructType) else None
 
-    ``json`` (parsed with ``json_map``): inside ``source`` if that is an object, else the top level. ``map``: inside
-    ``source``, then the top level. ``struct``: inside ``source`` only.
-    """
-    if kind == "json":
-        source = _inner(value, "source")
-        return F.when(source.isNotNull(), field_text(source, "table")).otherwise(
-            F.coalesce(field_text(value, "table", None), F.lit(UNKNOWN))
-        )
-    if kind == "map":
-        inner = field_text(_inner(value, "source"), "table", None)
-        return F.coalesce(inner, field_text(value, "table", None), F.lit(UNKNOWN))
-    if kind == "struct":
-        source = _field_type(struct, "source")
-        if isinstance(source, T.StructType) and "table" in source.names:
-            return F.coalesce(value["source"]["table"].cast("string"), F.lit(UNKNOWN))
+
+def json_table(record: JsonObject) -> Column:
+    """The table a JSON object comes from: inside ``source`` if that is an object, else the top level."""
+    # The second part is reached only by objects whose source names no table.
+    return F.coalesce(
+        record.text("source", "table", default=None),
+        F.when(record.has_object("source"), F.lit(UNKNOWN)),
+        record.text("table"),
+    )
+
+
+def map_table(fields: Column) -> Column:
+    """The table a map comes from: inside ``source``, then the top level."""
+    return F.coalesce(map_text(_map_inside(fields, "source"), "table", None), map_text(fields, "table"))
+
+
+def struct_table(value: Column, struct: T.DataType) -> Column:
+    """The table a struct comes from: inside ``source`` only."""
+    source = _struct_inside(struct, "source")
+    if source is None or "table" not in source.names:
         return F.lit(UNKNOWN)
-    raise ValueError(f"kind must be one of {KINDS}, not {kind!r}")
+    return F.coalesce(value["source"]["table"].cast("string"), F.lit(UNKNOWN))
 
 
-def _field_type(struct: T.DataType | None, name: str) -> T.DataType | None:
-    return struct[name].dataType if isinstance(struct, T.StructType) and name in struct.names else None
+def json_destination(record: JsonObject, field: str) -> Column:
+    """The destination in a JSON object: inside ``after`` as soon as that field is there, whatever it holds, else at
+    the top level."""
+    return F.when(record.has("after"), record.text("after", field)).otherwise(record.text(field))
 
 
-def destination_name(value: Column, field: str, kind: str, struct: T.StructType | None = None) -> Column:
-    """The outbox destination of a record, ``unknown`` where it does not say.
+def map_destination(fields: Column, field: str) -> Column:
+    """The destination in a map: inside ``after`` if that is a map, else at the top level."""
+    after = _map_inside(fields, "after")
+    return F.when(after.isNotNull(), map_text(after, field)).otherwise(map_text(fields, field))
 
-    ``json``: inside ``after`` as soon as that field is there, whatever it holds, else the top level. ``map``: inside
-    ``after`` if that is a map, else the top level. ``struct``: inside ``after``; the top level only where ``after`` is
-    null.
-    """
-    if kind == "json":
-        return F.when(
-            F.map_contains_key(value, "after"), F.coalesce(field_text(_inner(value, "after"), field, None), F.lit(UNKNOWN))
-        ).otherwise(F.coalesce(field_text(value, field, None), F.lit(UNKNOWN)))
-    if kind == "map":
-        after = _inner(value, "after")
-        return F.when(after.isNotNull(), field_text(after, field)).otherwise(
-            F.coalesce(field_text(value, field, None), F.lit(UNKNOWN))
-        )
-    if kind == "struct":
-        after = _field_type(struct, "after")
-        if not isinstance(after, T.StructType):
-            return F.lit(UNKNOWN)
-        inner = value["after"][field].cast("string") if field in after.names else F.lit(None).cast("string")
-        outer = value[field].cast("string") if field in struct.names else F.lit(None).cast("string")
-        return F.coalesce(F.when(value["after"].isNotNull(), inner).otherwise(outer), F.lit(UNKNOWN))
-    raise ValueError(f"kind must be one of {KINDS}, not {kind!r}")
-
-
-def _readable(df: DataFrame, kind: str) -> tuple[DataFrame, Column, T.DataType]:
-    if kind == "json":
-        return df.withColumn("_fields", json_map(F.col("value"))), F.col("_fields"), JSON_FIELDS
-    return df, F.col("value"), df.schema["value"].dataType
+
+def struct_destination(value: Column, struct: T.DataType, field: str) -> Column:
+    """The destination in a struct: inside ``after``, and at the top level only where ``after`` is null."""
+    after = _struct_inside(struct, "after")
+    if after is None:
+        return F.lit(UNKNOWN)
+    nothing = F.lit(None).cast("string")
+    inner = value["after"][field].cast("string") if field in after.names else nothing
+    outer = value[field].cast("string") if field in struct.names else nothing
+    return F.coalesce(F.when(value["after"].isNotNull(), inner).otherwise(outer), F.lit(UNKNOWN))
 
 
-JSON_FIELDS = T.MapType(T.StringType(), T.VariantType())
+def _check_kind(kind: str) -> None:
+    if kind not in KINDS:
+        raise ValueError(f"kind must be one of {KINDS}, not {kind!r}")
 
 
 def table_of(df: DataFrame, kind: str = "json", into: str = "table") -> DataFrame:
-    """Add the table name of each record."""
-    parsed, value, struct = _readable(df, kind)
-    return parsed.withColumn(into, table_name(value, kind, struct)).drop("_fields")
+    """Add the table name of each record, ``unknown`` where it does not say."""
+    _check_kind(kind)
+    value = F.col("value")
+    if kind == "json":
+        parsed = df.withColumn("_object", json_object(value).column)
+        return parsed.withColumn(into, json_table(JsonObject(F.col("_object")))).drop("_object")
+    return df.withColumn(into, map_table(value) if kind == "map" else struct_table(value, df.schema["value"].dataType))
 
 
 def destination_of(df: DataFrame, field: str = OUTBOX_FIELD, kind: str = "json", into: str = "destination") -> DataFrame:
-    """Add the outbox destination of each record."""
-    parsed, value, struct = _readable(df, kind)
-    return parsed.withColumn(into, destination_name(value, field, kind, struct)).drop("_fields")
+    """Add the outbox destination of each record, ``unknown`` where it does not say."""
+    _check_kind(kind)
+    value = F.col("value")
+    if kind == "json":
+        parsed = df.withColumn("_object", json_object(value).column)
+        return parsed.withColumn(into, json_destination(JsonObject(F.col("_object")), field)).drop("_object")
+    if kind == "map":
+        return df.withColumn(into, map_destination(value, field))
+    return df.withColumn(into, struct_destination(value, df.schema["value"].dataType, field))
 
 
 def add_routing(
@@ -112,23 +136,16 @@ def add_routing(
 
     A text that is no JSON object and a null value stay as they are and go to ``<prefix>.unknown``.
     """
-    if now is None:
-        now = F.unix_millis(F.current_timestamp())
-    now = (F.lit(now) if isinstance(now, int) else now).cast("bigint")
-    parsed, value, struct = _readable(df, kind)
-    named = parsed.withColumn("_destination", destination_name(value, field, kind, struct))
-    named = named.withColumn("topic", topic_name(prefix, F.col("_destination")))
-    new = {"_route_destination": F.col("_destination"), "_route_topic": F.col("topic"), "_routed_at": now}
+    _check_kind(kind)
+    value = F.col("value")
     if kind == "json":
-        replaced = F.coalesce(F.to_json(put_fields(F.col("_fields"), new)), F.col("value"))
-    elif kind == "map":
-        replaced = put_fields(F.col("value"), new)
+        named = with_object(df).withColumn("_destination", json_destination(row_object(), field))
     else:
-        replaced = F.col("value")
-        for name, column in new.items():
-            replaced = replaced.withField(name, F.when(F.lit(True), column))
-        replaced = F.when(F.col("value").isNotNull(), replaced)
-    return named.withColumn("value", replaced).drop("_fields", "_destination")
+        named = destination_of(df, field, kind, "_destination")
+    named = named.withColumn("topic", topic_name(prefix, F.col("_destination")))
+    new = {"_route_destination": F.col("_destination"), "_route_topic": F.col("topic"), "_routed_at": now_millis(now)}
+    put = {"json": put_text, "map": put_fields, "struct": with_fields}[kind]
+    return named.withColumn("value", put(value, new)).drop("_object", "_whole", "_destination")
 
 
 def route_outbox(
