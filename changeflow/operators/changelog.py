@@ -53,7 +53,7 @@ def dedup_events(df: DataFrame, id_cols: list[str], ts: str | None = None, delay
 
 def ordered(df: DataFrame, key: list[str], pos: str, width: int = CHUNK_WIDTH, name: str = "seq") -> DataFrame:
     """Add ``seq``, the place of each change among the changes of its key."""
-    return number_in_key(df, key, pos, position_chunk(pos, width), name)
+    return number_in_key(df, key, pos, position_chunk(pos, width), name, hot_rows=width)
 
 
 def evolve(df: DataFrame, row: T.StructType | str, value: str = "value") -> DataFrame:
