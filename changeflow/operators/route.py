@@ -39,7 +39,7 @@ def with_fields(value: Column, new: dict[str, Column]) -> Column:
     """A struct with nullable fields added; a null struct stays null."""
     wider = value
     for name, column in new.items():
-        wider = wider.withField(name, F.when(F.lit(True), column))
+        wider = wider.withField(name, F.when(value.isNotNull(), column))
     return F.when(value.isNotNull(), wider)
 
 
