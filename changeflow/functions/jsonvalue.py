@@ -110,7 +110,7 @@ def put_text(text: Column, new: dict[str, Column]) -> Column:
     # In a complete object nothing but spaces and one brace stands before the first name or the closing brace.
     rest = F.ltrim(text, F.lit(" \n\r\t{"))
     fields = F.to_json(F.struct(*[column.alias(name) for name, column in new.items()]), {"ignoreNullFields": "false"})
-    opened = F.left(fields, F.length(fields) - 1)
+    opened = F.regexp_replace(fields, r"\}\z", "")
     joined = F.concat(opened, F.when(rest.startswith("}"), F.lit("")).otherwise(F.lit(",")), rest)
     clashes = reduce(Column.__or__, [found.has(name) for name in new])
     rewritten = F.to_json(put_fields(found.fields(), new))

@@ -216,11 +216,11 @@ def field_report(df: DataFrame, required: list[str], value: str = "value", by: s
 
 def null_report(df: DataFrame, field: str, value: str = "value", by: str = "topic") -> DataFrame:
     """Per topic: objects where the field is absent, present with a null, and present with a value."""
-    parsed = df.select(by, json_object(F.col(value)).column.alias("_object")).where(F.col("_object").isNotNull())
-    has = _found().has(field)
-    is_null = _found().has_null(field)
+    # Counted, not filtered: a filter on the parsed object would be pushed down and parse every text twice.
+    parsed = df.select(by, json_object(F.col(value)).column.alias("_object"))
+    has, is_null = _found().has(field), _found().has_null(field)
     return parsed.groupBy(by).agg(
-        _count(~has).alias("absent"),
+        _count(_found().exists() & ~has).alias("absent"),
         _count(has & is_null).alias("explicit_null"),
         _count(has & ~is_null).alias("with_value"),
     )
@@ -247,8 +247,8 @@ def connector_contract(variant: str) -> Contract:
 
 def contract_report(df: DataFrame, contracts: dict[str, Contract], value: str = "value") -> DataFrame:
     """Per topic with a contract: records and records that break it. Tombstones carry no fields and are not counted."""
-    parsed = df.where(F.col("topic").isin(*contracts) & F.col(value).isNotNull()).select(
-        "topic", json_object(F.col(value)).column.alias("_object")
+    parsed = df.where(F.col("topic").isin(*contracts)).select(
+        "topic", F.col(value).isNotNull().alias("_record"), json_object(F.col(value)).column.alias("_object")
     )
     kept = F.lit(False)
     for topic, contract in contracts.items():
@@ -261,7 +261,9 @@ def contract_report(df: DataFrame, contracts: dict[str, Contract], value: str =
     return (
         parsed.withColumn("_kept", F.coalesce(kept, F.lit(False)))
         .groupBy("topic")
-        .agg(F.count("*").cast("bigint").alias("records"), _count(~F.col("_kept")).alias("violations"))
+        .agg(
+            _count(F.col("_record")).alias("records"), _count(F.col("_record") & ~F.col("_kept")).alias("violations")
+        )
     )
 
 
@@ -273,12 +275,12 @@ def evolution_report(df: DataFrame, field: str, changed: Column, value: str = "v
     parsed = df.select(
         F.when(changed, F.lit("after")).otherwise(F.lit("before")).alias("phase"),
         json_object(F.col(value)).column.alias("_object"),
-    ).where(F.col("_object").isNotNull())
+    )
     has = _found().has(field)
     return parsed.groupBy("phase").agg(
-        F.count("*").cast("bigint").alias("records"),
+        _count(_found().exists()).alias("records"),
         _count(has).alias("with_field"),
-        _count(has != (F.col("phase") == "after")).alias("violations"),
+        _count(_found().exists() & (has != (F.col("phase") == "after"))).alias("violations"),
     )
 
 

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from changeflow.operators.enrich import enrich_json, tag_event
 from changeflow.operators.envelope import WIRE, envelope_type
 from changeflow.operators.route import route_outbox, route_outbox_single
-from changeflow.sources.changelog import OUTBOX_TABLE, envelope_source, read_changelog
+from changeflow.sources.changelog import OUTBOX_TABLE, read_changelog
 from changeflow.sources.tables import CUSTOMERS, ORDERS, OUTBOX_EVENTS, TableSpec
 from changeflow.streaming.sinks import FileTarget, KafkaTarget, StreamOptions, Target, write_routed
 
@@ -101,7 +101,7 @@ def _transform(changes: DataFrame, spec: Spec) -> DataFrame:
 
 def upsert_records(changes: DataFrame, tables: list[TableSpec], tag: str, prefix: str) -> DataFrame:
     """Keyed records of several tables in one pass over the changes, a topic per table."""
-    named = changes.withColumn("_table", envelope_source(F.col("value"))["table"])
+    named = changes.withColumn("_table", F.get_json_object("value", "$.source.table"))
     keys, values, topics = [], [], []
     for spec in tables:
         mine = F.col("_table") == spec.name

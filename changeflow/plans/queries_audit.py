@@ -33,6 +33,7 @@ from changeflow.operators.route import route_outbox
 from changeflow.plans.expected import with_inputs
 from changeflow.plans.queries_format import LINK_PREFIX, NOW, STREAM_PREFIX
 from changeflow.plans.registry import query
+from changeflow.session import work_dir
 from changeflow.sources import derived
 
 LATEST = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY off DESC) AS rn FROM {src}) z WHERE rn = 1"
@@ -144,7 +145,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tagged_topics(spark: SparkSession, folder: str) -> DataFrame:
-    """One topic per kind of job, all fed from the same tables: ``topic, value``."""
+    """One topic per kind of job, all fed from the same tables and written by topic: ``topic, value``."""
     orders = derived.orders(spark, folder)
     log = to_envelope(derived.order_changes(orders)).select("value")
     stream = tag_event(log, STREAM_PREFIX).select(F.lit(f"{STREAM_PREFIX}.datastream.orders").alias("topic"), "value")
@@ -161,7 +162,9 @@ def tagged_topics(spark: SparkSession, folder: str) -> DataFrame:
     sql = flat("sql-api", f"{STREAM_PREFIX}.sql-api.orders", orders.where(~wrong)).unionAll(
         flat("table-api", f"{STREAM_PREFIX}.sql-api.orders", orders.where(wrong))
     )
-    return stream.unionAll(plain).unionAll(link).unionAll(table).unionAll(sql)
+    path = work_dir(spark, "tagged")
+    stream.unionAll(plain).unionAll(link).unionAll(table).unionAll(sql).write.partitionBy("topic").parquet(path)
+    return spark.read.parquet(path)
 
 
 @query(

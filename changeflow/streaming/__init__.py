@@ -1 +1,39 @@
 """Streaming sinks, live state and progress metrics."""
+
+from changeflow.streaming.live import counter_growth_live, lifecycle_live, read_state, silence_live, write_state
+from changeflow.streaming.progress import ProgressMetrics
+from changeflow.streaming.sinks import (
+    FileTarget,
+    KafkaTarget,
+    Statement,
+    StreamOptions,
+    read_committed,
+    read_topic,
+    read_upsert,
+    resume,
+    run_statement_set,
+    write_append,
+    write_routed,
+    write_upsert,
+)
+
+__all__ = [
+    "FileTarget",
+    "KafkaTarget",
+    "ProgressMetrics",
+    "Statement",
+    "StreamOptions",
+    "counter_growth_live",
+    "lifecycle_live",
+    "read_committed",
+    "read_state",
+    "read_topic",
+    "read_upsert",
+    "resume",
+    "run_statement_set",
+    "silence_live",
+    "write_append",
+    "write_routed",
+    "write_state",
+    "write_upsert",
+]
