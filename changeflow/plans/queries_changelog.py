@@ -79,22 +79,22 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("src_orders_typed", with_inputs("f_ord", select="SELECT *, 'r' AS op FROM f_ord"))
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(derived.database_log(spark, folder), ORDERS, db="shop").drop("pos")
+    return read_table(read_changelog(spark, written_log(spark, folder)), ORDERS, db="shop").drop("pos")
 
 
 @query("src_customers_typed", with_inputs("f_cust", select="SELECT *, 'r' AS op FROM f_cust"))
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(derived.database_log(spark, folder), CUSTOMERS, db="shop").drop("pos")
+    return read_table(read_changelog(spark, written_log(spark, folder)), CUSTOMERS, db="shop").drop("pos")
 
 
 def _account_log(spark: SparkSession, folder: str) -> DataFrame:
     """The account changes, out of their envelopes, as ``id, pos, ts, op, amount, status``."""
     texts = derived.account_envelopes(derived.events(spark, folder))
-    parsed = parse_envelope(texts.select("ts", "value"), derived.ACCOUNT_ROW)
+    parsed = parse_envelope(texts.select("pos", "ts", "value"), derived.ACCOUNT_ROW)
     image = F.coalesce("after", "before")
     return parsed.select(
         image["id"].alias("id"),
-        F.col("source")["pos"].alias("pos"),
+        "pos",
         "ts",
         "op",
         F.col("after")["amount"].alias("amount"),
@@ -157,7 +157,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    kept = filter_tables(derived.database_log(spark, folder), ["shop.orders", "shop.outbox_events", "other.customers"])
+    log = read_changelog(spark, written_log(spark, folder))
+    kept = filter_tables(log, ["shop.orders", "shop.outbox_events", "other.customers"])
     return parse_envelope(kept, "id BIGINT").select(
         F.col("source")["table"].alias("table_name"), "op", F.col("after")["id"].alias("id")
     )

@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeflow.operators.envelope import SOURCE
-
 TOPIC_RECORD = T.StructType(
     [
         T.StructField("topic", T.StringType()),
@@ -55,11 +53,6 @@ def read_changelog(
     return filter_tables(df, tables) if tables is not None else df
 
 
-def envelope_source(value: Column) -> Column:
-    """The ``source`` of an envelope text; nothing else in it is parsed."""
-    return F.from_json(value, T.StructType([T.StructField("source", SOURCE)]))["source"]
-
-
 def filter_tables(
     df: DataFrame, include: list[str], value: str = "value", db: str | None = None, table: str | None = None
 ) -> DataFrame:
@@ -75,8 +68,10 @@ def filter_tables(
             database, _, plain = name.partition(".")
             wanted = wanted | ((F.col(db) == database) & (F.col(table) == plain))
         return df.where(wanted)
-    source = envelope_source(F.col(value))
-    return df.where(F.concat_ws(".", source["db"], source["table"]).isin(*include))
+    # Database and table are compared as one struct: each use of a parsed text in a filter parses it again.
+    source = F.from_json(value, "source STRUCT<db: STRING, table: STRING>")["source"]
+    pairs = [name.partition(".") for name in include]
+    return df.where(source.isin(*[F.struct(F.lit(d).alias("db"), F.lit(t).alias("table")) for d, _, t in pairs]))
 
 
 def read_outbox(
