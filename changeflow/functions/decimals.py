@@ -21,8 +21,12 @@ def _signed_wide(hex_digits: Column) -> Column:
     padded = F.concat(F.repeat(F.lit("0"), 32 - F.length(digits)), digits)
     high = F.conv(F.substring(padded, 1, 16), 16, 10).cast("decimal(20,0)")
     low = F.conv(F.substring(padded, 17, 16), 16, 10).cast("decimal(20,0)")
-    magnitude = (high * F.lit(2**63).cast("decimal(19,0)") * F.lit(2).cast("decimal(1,0)")).cast("decimal(38,0)") + low
-    return F.when(negative, -(magnitude + 1)).otherwise(magnitude).cast("decimal(38,0)")
+    # Sixteen bytes can hold more than 38 digits; such a number becomes null.
+    shifted = F.try_multiply(high, F.lit(str(2**64)).cast("decimal(20,0)"))
+    magnitude = F.try_add(shifted, F.when(negative, low + 1).otherwise(low).cast("decimal(38,0)"))
+    # Taken from zero: the minus sign and abs() round to 34 digits.
+    below = F.try_subtract(F.lit(0).cast("decimal(38,0)"), magnitude)
+    return F.when(negative, below).otherwise(magnitude).try_cast("decimal(38,0)")
 
 
 def _with_point(unscaled: Column, scale: int) -> Column:
@@ -30,7 +34,7 @@ def _with_point(unscaled: Column, scale: int) -> Column:
     if scale == 0:
         return unscaled.cast("string")
     sign = F.when(unscaled < 0, F.lit("-")).otherwise(F.lit(""))
-    digits = F.abs(unscaled).cast("string")
+    digits = F.ltrim(unscaled.cast("string"), F.lit("-"))
     padded = F.concat(F.repeat(F.lit("0"), scale + 1 - F.length(digits)), digits)
     whole = F.substr(padded, F.lit(1), F.length(padded) - scale)
     fraction = F.substr(padded, F.length(padded) - scale + 1)

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import json
-from decimal import Decimal
+from decimal import Decimal, localcontext
 
 import pytest
 from pyspark.sql import functions as F
@@ -76,7 +76,11 @@ def test_decode_decimal_of_any_width(spark):
         size = max(1, (number if number >= 0 else ~number).bit_length() // 8 + 1)
         texts.append(base64.b64encode(number.to_bytes(size, "big", signed=True)).decode())
     got = values(spark, texts, decode_decimal(F.col("v"), "base64", 38, 3))
-    assert [int(g.scaleb(3)) for g in got] == numbers
+    with localcontext() as exact:
+        exact.prec = 50
+        assert [int(g.scaleb(3)) for g in got] == numbers
+    too_large = [base64.b64encode(b"\x7f" + b"\xff" * size).decode() for size in (15, 16)]
+    assert values(spark, too_large, decode_decimal(F.col("v"), "base64", 38, 0)) == [None, None]
 
 
 @pytest.mark.parametrize("mode", ["base64", "string", "number"])
