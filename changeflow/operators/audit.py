@@ -73,7 +73,7 @@ def parity_hash(a: DataFrame, b: DataFrame, key: str, fields: list[str]) -> Data
     def side(df: DataFrame, sign: int, in_a: int) -> DataFrame:
         text = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
         hashes = [F.xxhash64(text), F.xxhash64(F.concat(F.lit("\u0001"), text))]
-        # 38 digits: the sums hold any number of records of one key.
+        # Sums of 38 digits hold more records of one key than there can be.
         signed = [h.cast("decimal(38,0)") for h in hashes]
         if sign < 0:
             signed = [-h for h in signed]

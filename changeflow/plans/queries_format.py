@@ -19,7 +19,7 @@ from changeflow.operators.envelope import (
 from changeflow.plans.expected import with_inputs
 from changeflow.plans.registry import query
 from changeflow.sources import derived
-from changeflow.sources.tables import CUSTOMERS, ORDERS, read_parquet_table
+from changeflow.sources.tables import ORDERS, read_parquet_table
 
 STREAM_PREFIX = "shop.stream"
 LINK_PREFIX = "shop.link.datastream"
@@ -337,6 +337,3 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     records = to_upsert_record(changes, ["id"], ["id", "amount", "status"], F.col("op") == "d")
     enriched = enrich_json(records.withColumn("topic", F.lit("shop.link.in")), "datastream-cdc", LINK_PREFIX, NOW)
     return enriched.select("pos", F.col("value").isNull().alias("tombstone"), "topic")
-
-
-__all__ = ["CUSTOMERS", "LINK_PREFIX", "NOW", "STREAM_PREFIX"]
