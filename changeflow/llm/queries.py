@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import decontaminate, packing, pii, quality, simhash
+from changeflow.llm import decontaminate, extract, packing, pii, quality, reshard, revisits, simhash, toxicity, urls
 from changeflow.llm.common import table
 from changeflow.plans.registry import Query
 
@@ -51,3 +51,111 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     found = quality.quality_report(table(spark, folder, "documents"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return found.select("doc_id", *counts, "base_failed", "kept", F.round("quality", 4).alias("quality"), "votes")
+
+
+# The rules of the query.
+URL_RULES = (
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+)
+_HOST = "translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PATH = "coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '')"
+_FITS = [f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')" for h, p, _ in URL_RULES]
+_LONGEST = sorted(range(len(URL_RULES)), key=lambda k: -len(URL_RULES[k][0] + URL_RULES[k][1]))
+
+
+@query(
+    "op2_url_filter",
+    f"""
+    SELECT page_id, host, path,
+           CASE {" ".join(f"WHEN {_FITS[k]} THEN '{URL_RULES[k][0] + URL_RULES[k][1]}'" for k in _LONGEST)} END AS rule,
+           CASE {" ".join(f"WHEN {_FITS[k]} THEN '{URL_RULES[k][2]}'" for k in _LONGEST)} ELSE 'allow' END AS verdict
+    FROM (SELECT page_id, {_HOST} AS host, {_PATH} AS path FROM pages) parts
+    """,
+)
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
+    return urls.judge(table(spark, folder, "pages"), rules)
+
+
+@query("op4_toxicity")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def captures(pages: DataFrame) -> DataFrame:
+    """Archive records derived from pages: the captures of a section of a site are versions of one URL.
+
+    Every fourth capture by hash is a full response, the others are revisits; a version lasts 500 pages, and some answers leave
+    the validator out.
+    """
+    version = F.floor(F.col("page_id") / 500).cast("string")
+    turn = F.pmod(F.conv(F.substring(F.md5(F.col("page_id").cast("string").cast("binary")), 1, 4), 16, 10).cast("int"), F.lit(4))
+    full = turn == 0
+    # The path's first part stands for the section; scheme, fragment and fields differ between captures.
+    section = F.regexp_replace(F.col("url"), "(://[^/?#]*/[^/?#]*)[^?#]*", "$1")
+    etag = F.when(F.pmod("page_id", F.lit(11)) != 0, F.concat(F.lit('"v'), version, F.lit('"')))
+    fields = {
+        "date": F.col("page_id").cast("string"),
+        "cache-control": F.concat(F.lit("max-age="), turn.cast("string")),
+        "content-type": F.when(full, "text/html"),
+        "content-length": F.when(full, F.octet_length("html").cast("string")).otherwise("0"),
+        "etag": etag,
+    }
+    headers = F.create_map(*[x for k, v in fields.items() for x in (F.lit(k), v)])
+    return pages.select(
+        F.col("page_id").alias("record_id"),
+        F.when(full, "response").otherwise("revisit").alias("kind"),
+        section.alias("url"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("page_id") * 60).alias("ts"),
+        F.map_filter(headers, lambda k, v: v.isNotNull()).alias("headers"),
+        F.when(full, F.octet_length("html")).cast("long").alias("body_bytes"),
+    )
+
+
+@query(
+    "op5_revisits",
+    """
+    WITH r AS (
+        SELECT page_id AS record_id, page_id // 500 AS version, page_id % 11 <> 0 AS tagged,
+               concat('max-age=', r.turn) AS cache, r.turn = 0 AS full_, strlen(html) AS bytes,
+               regexp_extract(url, '://(?:www[.])?([^/?#]*/[^/?#]*)', 1) AS section,
+               array_to_string(list_sort([x FOR x IN string_split(regexp_replace(regexp_extract(url, '^[^?#]*[?]([^#]*)', 1),
+                   '(?:^|&)(?:utm_[a-z]+|ref)=[^&]*', '', 'g'), '&') IF x <> '']), '&') AS fields
+        FROM (SELECT *, CAST('0x' || substr(md5(CAST(page_id AS VARCHAR)), 1, 4) AS INTEGER) % 4 AS turn FROM pages) r
+    ), u AS (
+        SELECT *, CASE WHEN fields = '' THEN rtrim(section, '/') ELSE rtrim(section, '/') || '?' || fields END AS url FROM r
+    ), f AS (SELECT * FROM u WHERE full_)
+    SELECT v.record_id, v.url, CASE WHEN v.tagged AND f.tagged AND v.version = f.version THEN f.record_id END AS refers_to,
+           CASE WHEN f.record_id IS NULL THEN 'missing' WHEN v.tagged AND f.tagged AND v.version <> f.version THEN 'changed'
+                WHEN NOT (v.tagged AND f.tagged) THEN 'unchecked' ELSE 'resolved' END AS state,
+           CASE WHEN v.tagged AND f.tagged AND v.version = f.version
+                THEN concat('cache-control=', v.cache, ';content-length=', f.bytes, ';content-type=text/html;date=', v.record_id,
+                            ';etag="v', v.version, '"')
+                ELSE concat('cache-control=', v.cache, ';content-length=0;date=', v.record_id,
+                            CASE WHEN v.tagged THEN concat(';etag="v', v.version, '"') ELSE '' END) END AS headers,
+           CASE WHEN v.tagged AND f.tagged AND v.version = f.version THEN f.bytes END AS body_bytes
+    FROM (SELECT * FROM u WHERE NOT full_) v ASOF LEFT JOIN f ON v.url = f.url AND v.record_id > f.record_id
+    """,
+)
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    found = revisits.resolve(captures(table(spark, folder, "pages")))
+    pairs = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return found.withColumn("headers", F.array_join(pairs, ";"))
+
+
+@query("op7_reshard")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """The old layout has a shard for each source, so its sizes are as uneven as the sources."""
+    old = F.pmod(F.crc32(F.coalesce("source", F.lit("")).cast("binary")), F.lit(24))
+    found = reshard.reshard(table(spark, folder, "documents"), old, 24)
+    return found.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old"
+    )
+
+
+@query("op9_main_text")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return extract.extract(table(spark, folder, "pages"))
