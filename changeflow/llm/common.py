@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,3 +38,15 @@ def once(value: Column) -> Column:
 def at_most(frame: DataFrame, rows: int) -> bool:
     """True if the frame holds no more than so many rows; reads no further than that."""
     return frame.limit(rows + 1).count() <= rows
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """Arrow batches of so many rows for what runs inside, where rows are large."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

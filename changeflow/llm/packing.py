@@ -13,49 +13,87 @@ Other columns are not looked at.
 from __future__ import annotations
 
 import bisect
+import functools
 import heapq
+import os
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeflow.llm.common import cut
+from changeflow.llm.common import batches_of, cut
 
 CAPACITY = 2048
 END = 1
-#: Words whose ids a task remembers before it starts anew.
-REMEMBERED = 300_000
-#: The tokenizer drops white space and never joins across it; this splits only where it certainly does.
-GAP = re.compile(r"[ \n]+")
+#: Pieces whose ids a worker remembers before it starts anew; pieces encoded at a time.
+REMEMBERED, TOGETHER = 250_000, 512
+# The pieces that the tokenizer encodes one by one, once a text is in lower case. The first pattern is for ASCII texts.
+SHORT = "'s|'t|'re|'ve|'m|'ll|'d"
+ASCII_PIECE = re.compile(SHORT + r"|[a-z]+|[0-9]|[^ \t-\ra-z0-9]+")
+PIECE = regex.compile(SHORT + r"|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
+LETTERS = regex.compile(r"\p{L}+")
+#: Latin and Cyrillic letters, numbers and marks, which all versions of Unicode class alike.
+SAFE = re.compile("[\x00-\x7f\xa0-\u024f\u0400-\u045f\u2010-\u2027\u20ac]*")
 
 
 class WordTokenizer:
-    """Ids of a text, word by word, remembering words seen before; equal to encoding the whole text."""
+    """Ids of a text as little-endian 32-bit integers, piece by piece, remembering pieces; equal to encoding the whole text.
+
+    Texts with a special token's string or with other scripts, of which the tokenizer may know another version, are encoded whole.
+    """
 
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, list[int]] = {}
-
-    def __call__(self, text: str) -> list[int]:
-        words, known = GAP.split(text), self.known
-        if new := list({w for w in words if w not in known}):
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = list(set(words))
-            for word, got in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                known[word] = got.ids
-        out: list[int] = []
-        for ids in map(known.__getitem__, words):
-            out += ids
-        return out
+        self.known: dict[str, bytes] = {}
+
+    def encode(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def __call__(self, text: str) -> bytes:
+        if "<|" in text or not SAFE.fullmatch(text):
+            return self.encode(text)
+        if text.isascii():
+            pieces = ASCII_PIECE.findall(text.lower())
+        else:
+            pieces = PIECE.findall(unicodedata.normalize("NFC", text).lower())
+        try:
+            return b"".join(map(self.known.__getitem__, pieces))
+        except KeyError:
+            self.learn(set(pieces))
+            return b"".join(map(self.known.__getitem__, pieces))
+
+    def learn(self, pieces: set[str]) -> None:
+        new = [x for x in pieces if x not in self.known]
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known, new = {}, list(pieces)
+        # Runs of letters are one piece each wherever they stand, so many can be encoded as one text.
+        letters = [x for x in new if LETTERS.fullmatch(x)]
+        for at in range(0, len(letters), TOGETHER):
+            some = letters[at : at + TOGETHER]
+            got = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            ids, ends = np.array(got.ids, "<u4").tobytes(), np.searchsorted(got.word_ids, np.arange(len(some) + 1)).tolist()
+            for piece, low, high in zip(some, ends, ends[1:]):
+                self.known[piece] = ids[4 * low : 4 * high]
+        for piece in new:
+            if piece not in self.known:
+                self.known[piece] = self.encode(piece)
+
+
+@functools.cache
+def tokenizer(path: str) -> WordTokenizer:
+    """One for each Python worker, whose tasks share what it remembers."""
+    return WordTokenizer(path)
 
 
 def tokenized(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
@@ -66,15 +104,15 @@ def tokenized(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame
     schema = "doc_id long, n long, full array<long>, tail binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordTokenizer(path)
+        encode, end = tokenizer(path), END.to_bytes(4, "little")
         for batch in batches:
             n, full, tail = [], [], []
             for text in batch.column("text"):
-                ids = np.array(encode(text.as_py() or "") + [END], dtype="<u4")
-                whole = len(ids) // capacity * capacity
-                n.append(len(ids))
-                full.append([zlib.crc32(ids[at : at + capacity].tobytes()) for at in range(0, whole, capacity)])
-                tail.append(ids[whole:].tobytes())
+                ids = encode(text.as_py() or "") + end
+                whole = len(ids) // (4 * capacity) * 4 * capacity
+                n.append(len(ids) // 4)
+                full.append([zlib.crc32(ids[at : at + 4 * capacity]) for at in range(0, whole, 4 * capacity)])
+                tail.append(ids[whole:])
             columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(full, pa.list_(pa.int64())), pa.array(tail, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "full", "tail"])
 
@@ -139,7 +177,8 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     """
     slices = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = tokenized(docs, path, capacity).withColumn("left", (F.col("n") % capacity).cast("int"))
-    own = cut(own.withColumn("slice", F.pmod(F.xxhash64("doc_id", "tail"), F.lit(slices)).cast("int")))
+    with batches_of(docs.sparkSession, 500):
+        own = cut(own.withColumn("slice", F.pmod(F.xxhash64("doc_id", "tail"), F.lit(slices)).cast("int")))
     sums = cut(own.groupBy("left", "slice").agg(F.count("*").alias("rows"), F.sum(F.size("full")).alias("cut")))
     histogram = {r["left"]: r["rows"] for r in sums.groupBy("left").agg(F.sum("rows").alias("rows")).collect()}
     opened, placements = shortest_pack_first(histogram, capacity)
@@ -179,7 +218,7 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
                 yield p
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, 500) for b in batches for at in range(0, b.num_rows, 500)):
             rows: list[tuple] = []
             for r in batch.to_pylist():
                 first = base[r["left"]] + r["first"]

@@ -16,18 +16,17 @@ import itertools
 import math
 import re
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeflow.llm.common import cut
+from changeflow.llm.common import batches_of, cut
 from changeflow.llm.components import components
 
 SEED = 42
@@ -196,18 +195,6 @@ def _between(settings: Settings) -> Callable:
     return run
 
 
-@contextmanager
-def batches_of(spark: SparkSession, rows: int):
-    """Arrow batches of so many rows for what runs inside, since a row holds a pair of tiles."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def links(entries: DataFrame, settings: Settings) -> DataFrame:
     """Links (a, b) between ids of ``entries`` (id, fp, band) that join the same ids as all pairs within the radius."""
     spark = entries.sparkSession
