@@ -45,7 +45,7 @@ def template_text(values: Column, digits: Column) -> Column:
     """The same words with each name, number and unit replaced by its placeholder."""
     named = F.when(F.contains(values, F.lit(NAME)), F.regexp_replace(values, f"{NAME}[\\p{{L}}\\p{{N}}{JOIN}]+", NAME)).otherwise(values)
     counted = F.regexp_replace(named, f"\\p{{N}}[\\p{{N}}{JOIN}]*", NUMBER)
-    measured = F.regexp_replace(counted, f"({NUMBER}[^\\p{{L}}\\p{{N}}]*\\x20)(?:{UNITS})(?![\\p{{L}}\\p{{N}}])", f"$1{UNIT}")
+    measured = F.regexp_replace(counted, f"({NUMBER}\\x20)(?:{UNITS})(?![\\p{{L}}\\p{{N}}])", f"$1{UNIT}")
     return F.when(digits, measured).otherwise(named)
 
 
