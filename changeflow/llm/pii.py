@@ -104,14 +104,14 @@ def _gaps(pattern: str, needs: str) -> str:
     return f"IF({needs}, struct({gaps} AS gaps, regexp_extract_all(t, '{p}', 0) AS found), NULL)"
 
 
-def _placed(raw: str) -> str:
-    """SQL: matches as spans in order; the lengths of the gaps between them give their places."""
+def _placed(raw: str, holds: str) -> str:
+    """SQL: matches that satisfy a condition as spans in order; the lengths of the gaps between matches give their places."""
     start = f"acc.at + {raw}.gaps[i].n"
     span = f"struct({start} AS s, {start} + length({raw}.found[i]) AS e, {raw}.found[i] AS m, {raw}.gaps[i].last AS before, {raw}.gaps[i + 1].first AS after)"
     return (
         f"IF({raw} IS NULL, CAST(array() AS {SPAN}), aggregate(slice(sequence(0, size({raw}.found)), 1, size({raw}.found)),"
         f" struct(0 AS at, CAST(array() AS {SPAN}) AS out), (acc, i) -> struct({start} + length({raw}.found[i]) AS at,"
-        f" concat(acc.out, array({span})) AS out), acc -> acc.out))"
+        f" IF({holds}, concat(acc.out, array({span})), acc.out) AS out), acc -> acc.out))"
     )
 
 
@@ -123,8 +123,11 @@ def spans(docs: DataFrame, keep: list[Column]) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     base = docs.select(F.struct(*keep).alias("row"), text.alias("t"), text.rlike("[0-9]").alias("digits"))
     raw = F.struct(*[F.expr(_gaps(p[k], NEEDS[k])).alias(k + end) for p, end in ((BASE, ""), (WIDE, "_wide")) for k in KINDS])
-    placed = F.struct(*[F.expr(_placed(f"raw.{k}{end}")).alias(k + end) for end in ("", "_wide") for k in KINDS])
-    strict = [F.expr(f"transform(filter(b.{k}, x -> {valid(k, 'x.m')}), x -> struct(x.s AS s, x.e AS e))").alias(k) for k in KINDS]
+    placed = F.struct(
+        *[F.expr(_placed(f"raw.{k}", valid(k, f"raw.{k}.found[i]"))).alias(k) for k in KINDS],
+        *[F.expr(_placed(f"raw.{k}_wide", "TRUE")).alias(f"{k}_wide") for k in KINDS],
+    )
+    strict = [F.expr(f"transform(b.{k}, x -> struct(x.s AS s, x.e AS e))").alias(k) for k in KINDS]
     got = base.select("row", "t", once(raw).alias("raw")).select("row", "t", once(placed).alias("b"))
     got = got.select("row", "t", "b", once(F.struct(*strict)).alias("base"))
     parts = []
