@@ -33,9 +33,14 @@ def current_state(df: DataFrame, key: list[str], pos: str, op: str = "op") -> Da
     return compact(df, key, pos).where(F.col(op) != "d")
 
 
-def state_as_of(df: DataFrame, key: list[str], pos: str, at: Column | int | str, op: str = "op") -> DataFrame:
-    """The state after every change up to and including ``at``, a value on the axis of ``pos``."""
-    return current_state(df.where(F.col(pos) <= at), key, pos, op)
+def state_as_of(
+    df: DataFrame, key: list[str], pos: str, at: Column | int | str, op: str = "op", cut: str | None = None
+) -> DataFrame:
+    """The state after every change up to and including ``at``, a value on the axis of ``cut``, or of ``pos`` without it.
+
+    Changes are folded by ``pos`` either way, so changes at the same time are told apart.
+    """
+    return current_state(df.where(F.col(cut or pos) <= at), key, pos, op)
 
 
 def dedup_events(df: DataFrame, id_cols: list[str], ts: str | None = None, delay: str | None = None) -> DataFrame:

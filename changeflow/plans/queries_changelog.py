@@ -241,7 +241,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
     at = F.lit(derived.SCHEMA_CHANGE).cast("timestamp_ntz")
-    return state_as_of(_account_log(spark, folder), ["id"], "ts", at).drop("op")
+    return state_as_of(_account_log(spark, folder), ["id"], "pos", at, cut="ts").drop("op")
 
 
 @query("dedup_events", "SELECT event_id AS id, event_type AS destination, props AS payload FROM events")
@@ -298,7 +298,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 def _(spark: SparkSession, folder: str) -> DataFrame:
     log = _account_log(spark, folder)
     at = F.lit(derived.SCHEMA_CHANGE).cast("timestamp_ntz")
-    old = state_as_of(log, ["id"], "ts", at).select("id", "amount", "status")
+    old = state_as_of(log, ["id"], "pos", at, cut="ts").select("id", "amount", "status")
     new = current_state(log, ["id"], "pos").select("id", "amount", "status")
     return diff_states(old, new, ["id"]).select(
         "id", "op", F.col("before")["amount"].alias("before_amount"), F.col("after")["amount"].alias("after_amount")

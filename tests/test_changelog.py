@@ -241,3 +241,9 @@ def test_key_ranges_cover_every_key_once(spark, lower, upper, parts):
     frame = spark.createDataFrame([(k,) for k in keys] + [(None,)], "k BIGINT")
     hits = frame.select("k", sum(F.when(F.expr(r), 1).otherwise(0) for r in ranges).alias("n")).collect()
     assert all(h.n == 1 for h in hits) and len(ranges) <= parts
+
+
+def test_state_as_of_folds_ties_by_position(spark):
+    rows = [(1, 10, 5, "c", "first"), (1, 11, 5, "u", "second"), (2, 13, 5, "u", "second"), (2, 12, 5, "c", "first"), (2, 14, 6, "d", None)]
+    log = spark.createDataFrame(rows, "id int, pos int, ts int, op string, v string")
+    assert {r.id: r.v for r in state_as_of(log, ["id"], "pos", 5, cut="ts").collect()} == {1: "second", 2: "second"}
