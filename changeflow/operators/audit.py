@@ -179,7 +179,7 @@ def order_violations(
 ) -> DataFrame:
     """Records whose marker does not rise with the offset: ``part, prev_offset, offset, prev_marker, marker``."""
     rows = df.select(*part, offset, marker)
-    paired = previous_in_key(rows, part, offset, [offset, marker], position_chunk(offset, width), hot_rows=width)
+    paired = previous_in_key(rows, part, offset, [offset, marker], position_chunk(offset, width))
     return paired.where(F.col(f"prev_{marker}").isNotNull() & (F.col(marker) <= F.col(f"prev_{marker}")))
 
 
@@ -188,7 +188,7 @@ def lifecycle_violations(df: DataFrame, key: list[str], pos: str, op: str = "op"
 
     A snapshot read counts as a create. ``prev_op`` is null for the first change of a key.
     """
-    paired = previous_in_key(df.select(*key, pos, op), key, pos, [op], position_chunk(pos, width), hot_rows=width)
+    paired = previous_in_key(df.select(*key, pos, op), key, pos, [op], position_chunk(pos, width))
     live = F.col(f"prev_{op}").isin("c", "r", "u")
     creates = F.col(op).isin("c", "r")
     legal = F.when(F.coalesce(live, F.lit(False)), F.col(op).isin("u", "d")).otherwise(creates)

@@ -1,28 +1,23 @@
 """Order-dependent columns per key that no hot key can slow down.
 
-``lag`` over a window partitioned by key puts every row of a key into one task. That is right for keys that fit a task;
-for the others the order axis is cut into chunks. Rows are then shuffled by (keys, chunk), and one summary row per hot
-key and chunk carries values from one chunk to the next. A key that holds a third of all rows is spread over as many
-tasks as it has chunks.
+``lag`` over a window partitioned by key puts every row of a key into one task. Here the order axis is cut into chunks, rows
+are shuffled once by (keys, chunk), and the last row of each key and chunk carries values on to the next chunk. A key that
+holds a third of all rows is spread over as many tasks as it has chunks. The plan is the same for every size and does
+not count anything first.
 
-Which keys are hot is counted first, from the key columns alone. Where none is, the plan is a plain window with one
-shuffle. Where they are few they are named in the plan; where they are too many to name, every key is cut into chunks.
-All three give the same rows.
+The last rows are taken with all their columns from the rows as they were shuffled, so both sides of the join read one exchange.
 
-Keys are not null; ``order`` is unique in each key; ``chunk`` is a whole number that does not fall as ``order`` rises.
+Keys may be null; null is a key like any other. ``order`` is unique in each key and not null; ``chunk`` is a whole number
+that does not fall as ``order`` rises.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-# Rows of one key that one task may sort, and log positions per chunk of a hotter key.
+# Log positions per chunk: as many rows of one key as one task sorts at most.
 CHUNK_WIDTH = 4_000_000
-# Hot keys that may be named in a plan.
-NAMED_KEYS = 1_000
 
 
 def position_chunk(position: str, width: int = CHUNK_WIDTH) -> Column:
@@ -30,105 +25,68 @@ def position_chunk(position: str, width: int = CHUNK_WIDTH) -> Column:
     return F.expr(f"`{position}` div {int(width)}")
 
 
-def hot_condition(df: DataFrame, keys: list[str], rows: int) -> Column | None:
-    """A condition true for rows of keys with more than ``rows`` rows; None where there is no such key."""
-    if not keys:
-        return F.lit(True)
-    counted = df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > rows).select(*keys)
-    # One more than may be named tells whether they are too many; then all keys count as hot.
-    hot = counted.limit(NAMED_KEYS + 1).collect()
-    if not hot:
-        return None
-    if len(hot) > NAMED_KEYS:
-        return F.lit(True)
-    if len(keys) == 1:
-        return F.col(keys[0]).isin([row[0] for row in hot])
-    each = [reduce(Column.__and__, [F.col(key) == F.lit(row[key]) for key in keys]) for row in hot]
-    return reduce(Column.__or__, each)
+def _shuffled(df: DataFrame, keys: list[str], chunk: Column) -> tuple[DataFrame, list[str]]:
+    """Rows dealt by key and chunk, and the names of those two columns.
+
+    The key is one struct, since structs with nulls inside are equal where single nulls are not.
+    """
+    cut = df.withColumn("_chunk", chunk.cast("bigint"))
+    by = ["_chunk"]
+    if keys:
+        cut = cut.withColumn("_key", F.struct(*keys))
+        by = ["_key", "_chunk"]
+    return cut.repartition(*by), by
 
 
-def _in_key(keys: list[str], order: str, *more: str) -> WindowSpec:
-    return Window.partitionBy(*keys, *more).orderBy(order)
+def _in_chunk(by: list[str], order: str) -> WindowSpec:
+    return Window.partitionBy(*by).orderBy(order)
 
 
-def _earlier_chunks(keys: list[str]) -> WindowSpec:
-    return _in_key(keys, "_chunk").rowsBetween(Window.unboundedPreceding, -1)
+def _over_chunks(by: list[str]) -> WindowSpec:
+    return Window.partitionBy(*by[:-1]).orderBy("_chunk")
 
 
-def _chunked(df: DataFrame, hot: Column, chunk: Column) -> DataFrame:
-    # Keys that are not hot have one chunk, and so nothing to carry.
-    return df.withColumn("_chunk", F.when(hot, chunk.cast("bigint")).otherwise(F.lit(0).cast("bigint")))
+def _last_rows(near: DataFrame, by: list[str], order: str) -> DataFrame:
+    """The last row of each key and chunk, in the column ``_last``."""
+    return near.groupBy(*by).agg(F.max_by(F.struct(*[F.col(c) for c in near.columns]), order).alias("_last"))
 
 
 def previous_in_key(
-    df: DataFrame,
-    keys: list[str],
-    order: str,
-    values: list[str],
-    chunk: Column,
-    prefix: str = "prev_",
-    hot_rows: int = CHUNK_WIDTH,
+    df: DataFrame, keys: list[str], order: str, values: list[str], chunk: Column, prefix: str = "prev_"
 ) -> DataFrame:
     """Add ``<prefix><value>``: each value in the row before this one in its key, null in the first row."""
-    hot = hot_condition(df, keys, hot_rows)
-    if hot is None:
-        before = _in_key(keys, order)
-        return df.select(*df.columns, *[F.lag(value).over(before).alias(prefix + value) for value in values])
-    # One max_by per value, not one over a struct: numbers then aggregate by hash and without a sort.
-    last = _chunked(df.where(hot), hot, chunk).groupBy(*keys, "_chunk").agg(
-        *[F.max_by(value, order).alias(f"_last_{value}") for value in values]
-    )
-    tail = F.struct(*[F.col(f"_last_{value}").alias(value) for value in values])
-    carry = last.select(*keys, "_chunk", F.lag(tail).over(_in_key(keys, "_chunk")).alias("_carried"))
-    packed = F.lag(F.struct(*values)).over(_in_key(keys, order, "_chunk"))
-    near = _chunked(df, hot, chunk).withColumn("_near", packed)
+    rows, by = _shuffled(df, keys, chunk)
+    tail = F.struct(*[F.col("_last")[value].alias(value) for value in values])
+    last = _last_rows(rows, by, order).select(*by, tail.alias("_tail"))
+    carry = last.select(*by, F.lag("_tail").over(_over_chunks(by)).alias("_carried"))
+    near = rows.withColumn("_near", F.lag(F.struct(*values)).over(_in_chunk(by, order)))
     previous = F.coalesce("_near", "_carried")
-    return near.join(carry, [*keys, "_chunk"], "left").select(
+    return near.join(carry, by, "left").select(
         *df.columns, *[previous[value].alias(prefix + value) for value in values]
     )
 
 
-def number_in_key(
-    df: DataFrame, keys: list[str], order: str, chunk: Column, name: str = "seq", hot_rows: int = CHUNK_WIDTH
-) -> DataFrame:
+def number_in_key(df: DataFrame, keys: list[str], order: str, chunk: Column, name: str = "seq") -> DataFrame:
     """Add ``name``: 1 for the first row of each key in ``order``, and so on without gaps."""
-    hot = hot_condition(df, keys, hot_rows)
-    if hot is None:
-        return df.select(*df.columns, F.row_number().over(_in_key(keys, order)).cast("bigint").alias(name))
-    sizes = _chunked(df.where(hot), hot, chunk).groupBy(*keys, "_chunk").agg(F.count("*").alias("_n"))
-    carry = sizes.select(*keys, "_chunk", F.sum("_n").over(_earlier_chunks(keys)).alias("_carried"))
-    near = _chunked(df, hot, chunk).withColumn("_near", F.row_number().over(_in_key(keys, order, "_chunk")))
-    number = F.col("_near").cast("bigint") + F.coalesce("_carried", F.lit(0))
-    return near.join(carry, [*keys, "_chunk"], "left").select(*df.columns, number.alias(name))
+    return running_sum_in_key(df, keys, order, {name: F.lit(1).cast("bigint")}, chunk)
 
 
 def running_sum_in_key(
-    df: DataFrame,
-    keys: list[str],
-    order: str,
-    amounts: dict[str, Column],
-    chunk: Column,
-    hot_rows: int = CHUNK_WIDTH,
+    df: DataFrame, keys: list[str], order: str, amounts: dict[str, Column], chunk: Column
 ) -> DataFrame:
-    """Add the running sum of each amount per key, this row included."""
-    hot = hot_condition(df, keys, hot_rows)
-    up_to_here = (Window.unboundedPreceding, Window.currentRow)
+    """Add the running sum of each amount per key, this row included; null where all amounts so far are null."""
     priced = df.withColumns({f"_amount_{name}": amount for name, amount in amounts.items()})
-    if hot is None:
-        so_far = _in_key(keys, order).rowsBetween(*up_to_here)
-        return priced.select(*df.columns, *[F.sum(f"_amount_{name}").over(so_far).alias(name) for name in amounts])
-    totals = _chunked(priced.where(hot), hot, chunk).groupBy(*keys, "_chunk").agg(
-        *[F.sum(f"_amount_{name}").alias(f"_total_{name}") for name in amounts]
-    )
-    before = _earlier_chunks(keys)
-    carry = totals.select(
-        *keys, "_chunk", *[F.sum(f"_total_{name}").over(before).alias(f"_carried_{name}") for name in amounts]
-    )
-    so_far = _in_key(keys, order, "_chunk").rowsBetween(*up_to_here)
-    near = _chunked(priced, hot, chunk).withColumns(
-        {f"_near_{name}": F.sum(f"_amount_{name}").over(so_far) for name in amounts}
-    )
-    sums = {name: F.col(f"_near_{name}") + F.coalesce(f"_carried_{name}", F.lit(0)) for name in amounts}
-    return near.join(carry, [*keys, "_chunk"], "left").select(
-        *df.columns, *[total.alias(name) for name, total in sums.items()]
+    rows, by = _shuffled(priced, keys, chunk)
+    so_far = _in_chunk(by, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    near = rows.withColumns({f"_near_{name}": F.sum(f"_amount_{name}").over(so_far) for name in amounts})
+    totals = [F.col("_last")[f"_near_{name}"].alias(f"_total_{name}") for name in amounts]
+    before = _over_chunks(by).rowsBetween(Window.unboundedPreceding, -1)
+    carry = _last_rows(near, by, order).select(*by, *totals).select(
+        *by, *[F.sum(f"_total_{name}").over(before).alias(f"_carried_{name}") for name in amounts]
     )
+
+    def total(name: str) -> Column:
+        own, carried = F.col(f"_near_{name}"), F.col(f"_carried_{name}")
+        return F.coalesce(own + carried, own, carried).alias(name)
+
+    return near.join(carry, by, "left").select(*df.columns, *[total(name) for name in amounts])

@@ -81,7 +81,6 @@ def account_changes(events: DataFrame, width: int = CHUNK_WIDTH) -> DataFrame:
         "event_id",
         ["event_type", "value"],
         position_chunk("event_id", width),
-        hot_rows=width,
     )
     deletes = F.col("event_type") == "error"
     absent = F.col("prev_event_type").isNull() | (F.col("prev_event_type") == "error")
@@ -293,7 +292,6 @@ def job_metrics(events: DataFrame, width: int = CHUNK_WIDTH) -> DataFrame:
             "num_completed_checkpoints": F.when(~error, F.lit(1)).otherwise(F.lit(0)).cast("bigint"),
         },
         position_chunk("pos", width),
-        hot_rows=width,
     )
     lives = counted.withColumn("_life", F.floor(F.col("pos") / 400))
     # A life is 400 positions long, so this window is small whatever the table holds.

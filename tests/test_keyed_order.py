@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from changeflow.operators import keyed_order
 from changeflow.operators.keyed_order import (
     number_in_key,
     position_chunk,
@@ -17,54 +16,70 @@ from changeflow.operators.keyed_order import (
 
 @pytest.fixture(scope="module")
 def log(spark):
-    """600 positions; one key holds half of them, some keys are rare, values have nulls."""
+    """600 positions; one key holds half of them, some keys are rare, keys and values have nulls."""
     chance = random.Random(7)
     rows = []
     for pos in range(600):
         key = 0 if chance.random() < 0.5 else chance.randrange(1, 40)
         value = None if chance.random() < 0.1 else chance.randrange(1000)
-        rows.append((pos, key, f"g{key % 3}", value))
+        rows.append((pos, None if key in (1, 2, 3) else key, None if key % 3 == 2 else f"g{key % 3}", value))
     chance.shuffle(rows)
     return spark.createDataFrame(rows, "pos BIGINT, k INT, g STRING, v INT").cache()
 
 
-# How many rows make a key hot, and how many hot keys may be named: none hot, one named, all cut.
-REGIMES = {"plain": (10_000, 1000), "named": (50, 1000), "all": (1, 2)}
-
-
-@pytest.fixture(params=REGIMES)
-def hot_rows(request, monkeypatch):
-    rows, named = REGIMES[request.param]
-    monkeypatch.setattr(keyed_order, "NAMED_KEYS", named)
-    return rows
+def same(got, want):
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
 
 
 @pytest.mark.parametrize("keys", [["k"], ["k", "g"], []])
-@pytest.mark.parametrize("width", [1, 7, 100])
-def test_previous_equals_lag(log, hot_rows, keys, width):
-    got = previous_in_key(log, keys, "pos", ["v", "pos"], position_chunk("pos", width), hot_rows=hot_rows)
+@pytest.mark.parametrize("width", [1, 7, 100, 10_000])
+def test_previous_equals_lag(log, keys, width):
+    got = previous_in_key(log, keys, "pos", ["v", "pos"], position_chunk("pos", width))
     window = Window.partitionBy(*keys).orderBy("pos")
-    want = log.select("*", F.lag("v").over(window).alias("prev_v"), F.lag("pos").over(window).alias("prev_pos"))
-    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    same(got, log.select("*", F.lag("v").over(window).alias("prev_v"), F.lag("pos").over(window).alias("prev_pos")))
 
 
-def test_number_and_running_sum(log, hot_rows):
-    chunk = position_chunk("pos", 9)
-    window = Window.partitionBy("k").orderBy("pos")
+@pytest.mark.parametrize("keys", [["k"], ["k", "g"], []])
+@pytest.mark.parametrize("width", [1, 9, 10_000])
+def test_number_and_running_sum(log, keys, width):
+    chunk = position_chunk("pos", width)
+    window = Window.partitionBy(*keys).orderBy("pos")
     so_far = window.rowsBetween(Window.unboundedPreceding, 0)
-    numbered = number_in_key(log, ["k"], "pos", chunk, hot_rows=hot_rows)
-    got = running_sum_in_key(numbered, ["k"], "pos", {"total": F.coalesce("v", F.lit(0))}, chunk, hot_rows=hot_rows)
-    want = log.select("*", F.row_number().over(window).alias("seq"), F.sum(F.coalesce("v", F.lit(0))).over(so_far).alias("total"))
-    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
-
-
-def test_hot_key_is_spread(log):
-    plan = previous_in_key(log, ["k"], "pos", ["v"], position_chunk("pos", 10), hot_rows=100)
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(k" in text and "_chunk" in text
-
-
-def test_cold_keys_need_one_shuffle(log):
-    plan = previous_in_key(log, ["k"], "pos", ["v"], position_chunk("pos", 10), hot_rows=1000)
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert text.count("Exchange hashpartitioning") == 1 and "Join" not in text
+    numbered = number_in_key(log, keys, "pos", chunk)
+    got = running_sum_in_key(numbered, keys, "pos", {"total": F.col("v"), "n": F.lit(2)}, chunk)
+    seq, total, n = F.row_number().over(window), F.sum("v").over(so_far), F.sum(F.lit(2)).over(so_far)
+    same(got, log.select("*", seq.alias("seq"), total.alias("total"), n.alias("n")))
+
+
+def test_empty_log(log):
+    none = log.where("false")
+    assert previous_in_key(none, ["k"], "pos", ["v"], position_chunk("pos")).collect() == []
+    assert number_in_key(none, ["k"], "pos", position_chunk("pos")).collect() == []
+
+
+def test_nothing_runs_while_a_plan_is_built(spark, log):
+    log.count()
+    spark.sparkContext.setJobGroup("built", "plans only")
+    try:
+        previous_in_key(log, ["k"], "pos", ["v"], position_chunk("pos", 10))
+        number_in_key(log, ["k"], "pos", position_chunk("pos", 10))
+        assert spark.sparkContext.statusTracker().getJobIdsForGroup("built") == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("add", [
+    lambda df: previous_in_key(df, ["k"], "pos", ["v"], position_chunk("pos", 10)),
+    lambda df: number_in_key(df, ["k"], "pos", position_chunk("pos", 10)),
+])
+def test_rows_are_shuffled_once(spark, log, add, tmp_path):
+    log.write.parquet(str(tmp_path / "log"))
+    got = add(spark.read.parquet(str(tmp_path / "log")))
+    got.collect()
+    text = got._jdf.queryExecution().executedPlan().toString()
+    final = text.split("== Initial Plan ==")[0]
+    # The rows by (key, chunk), their last rows by key, and what these carry by (key, chunk) again.
+    dealt = [line for line in final.splitlines() if "Exchange" in line and "REPARTITION_BY_COL" in line]
+    assert len([line for line in dealt if "Reused" not in line]) == 1, final
+    assert "ReusedExchange" in final, final
