@@ -136,7 +136,9 @@ def run_pipeline(spark: SparkSession, spec: Spec) -> StreamingQuery | None:
     if isinstance(target, KafkaTarget):
         records.write.format("kafka").option("kafka.bootstrap.servers", target.servers).save()
     else:
-        records.write.mode("overwrite").partitionBy("topic").parquet(target.path)
+        # A run replaces what the same job wrote before, and nothing of other jobs.
+        options = StreamOptions(settings.get("prefix", "changeflow"), settings["name"], "unused")
+        records.write.mode("overwrite").partitionBy("topic").parquet(target.enter(spark, options.query_name))
     return None
 
 

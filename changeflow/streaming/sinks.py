@@ -8,8 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from urllib.parse import quote
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -56,10 +59,24 @@ class StreamOptions:
 
 @dataclass(frozen=True)
 class FileTarget:
-    """Topics as directories of parquet files, ``<path>/topic=<topic>``."""
+    """Topics as directories of parquet files, which several jobs may share.
+
+    Each job writes below a folder of its own, ``<path>/records/job=<job>/topic=<topic>``, since the commit log of a file
+    sink belongs to one query; a second query in the same folder would take batches of the first for its own.
+    ``<path>/jobs`` names the jobs, so that readers unite what each has committed.
+    """
 
     path: str
 
+    def records_of(self, job: str) -> str:
+        return f"{self.path}/records/job={quote(job, safe='')}"
+
+    def enter(self, spark: SparkSession, job: str) -> str:
+        """Name a job in the target; returns the folder of its records. Entering again changes nothing."""
+        one = spark.range(1).select(F.lit(job).alias("name"))
+        one.write.mode("overwrite").parquet(f"{self.path}/jobs/{quote(job, safe='')}")
+        return self.records_of(job)
+
 
 @dataclass(frozen=True)
 class KafkaTarget:
@@ -77,7 +94,8 @@ def _start(records: DataFrame, target: Target, options: StreamOptions) -> Stream
         wire = [c for c in ("topic", "key", "value") if c in records.columns]
         kafka = records.select(*wire).writeStream.outputMode("append").format("kafka")
         return options.apply(kafka.option("kafka.bootstrap.servers", target.servers)).start()
-    return writer.format("parquet").partitionBy("topic").start(target.path)
+    folder = target.enter(records.sparkSession, options.query_name)
+    return writer.format("parquet").partitionBy("topic").start(folder)
 
 
 def write_append(df: DataFrame, topic: str, target: Target, options: StreamOptions, value: str = "value") -> StreamingQuery:
@@ -103,11 +121,25 @@ def write_upsert(
 
 
 def read_topic(spark: SparkSession, target: FileTarget, topic: str | None = None) -> DataFrame:
-    """The committed records of one topic (only its directory is read), or of all."""
-    records = spark.read.parquet(target.path)
+    """The records of one topic (only its directories are read), or of all, as far as the jobs have committed them."""
+    jobs = [r.name for r in spark.read.option("recursiveFileLookup", "true").parquet(f"{target.path}/jobs").collect()]
+    written = [frame for frame in (_committed_by(spark, target, job) for job in sorted(jobs)) if frame is not None]
+    if not written:
+        raise ValueError(f"no job has committed records to {target.path}")
+    records = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), written)
     return records if topic is None else records.where(F.col("topic") == topic)
 
 
+def _committed_by(spark: SparkSession, target: FileTarget, job: str) -> DataFrame | None:
+    """The records of a job; None where it has not committed any."""
+    try:
+        return spark.read.parquet(target.records_of(job))
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def read_upsert(spark: SparkSession, target: FileTarget, topic: str) -> DataFrame:
     """The live rows of an upsert topic: the last value of each key that has one."""
     records = read_topic(spark, target, topic).select("key", "offset", "value")
@@ -120,7 +152,7 @@ def write_routed(df: DataFrame, target: Target, options: StreamOptions, files_pe
     Every task writes what it holds, so a topic with most of the records is written by all of them. With thousands of
     topics that makes many small files; ``files_per_topic`` then gathers each topic in that many tasks instead of one.
     """
-    records = df.select(*[c for c in ("topic", "key", "value") if c in df.columns])
+    records = df.select(*[c for c in ("topic", "offset", "key", "value") if c in df.columns])
     if files_per_topic and isinstance(target, FileTarget):
         salt = F.pmod(F.xxhash64("value"), F.lit(files_per_topic))
         records = records.withColumn("_salt", salt).repartition("topic", "_salt").drop("_salt")
@@ -145,12 +177,14 @@ def run_statement_set(
     options: StreamOptions,
     output_mode: str = "append",
 ) -> StreamingQuery:
-    """Feed several sinks from one source with one checkpoint.
+    """Feed several sinks from one source with one checkpoint. Jobs that share a target have topics and commits of their own.
 
     The batch is read once and kept for all sinks. A batch that failed between two sinks runs again and replaces its
     own directories; ``read_committed`` shows a batch only once all of its sinks have it.
     """
 
+    job = quote(options.query_name, safe="")
+
     def write(batch: DataFrame, batch_id: int) -> None:
         if len(statements) > 1:
             # Under names of its own: the batch of a stateful query may claim an order over columns it does not have,
@@ -158,10 +192,10 @@ def run_statement_set(
             batch = batch.select(*[F.col(c).alias(c) for c in batch.columns]).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for statement in statements:
-                _write_batch(statement.select(batch), statement.topic, target, batch_id)
+                _write_batch(statement.select(batch), statement.topic, target, job, batch_id)
             if isinstance(target, FileTarget):
                 marker = batch.sparkSession.range(1).select(F.lit(batch_id).cast("bigint").alias("committed"))
-                marker.write.mode("overwrite").parquet(f"{target.path}/commits/batch_id={batch_id}")
+                marker.write.mode("overwrite").parquet(f"{target.path}/commits/job={job}/batch_id={batch_id}")
         finally:
             if len(statements) > 1:
                 batch.unpersist()
@@ -169,19 +203,19 @@ def run_statement_set(
     return options.apply(source.writeStream.outputMode(output_mode).foreachBatch(write)).start()
 
 
-def _write_batch(records: DataFrame, topic: str, target: Target, batch_id: int) -> None:
+def _write_batch(records: DataFrame, topic: str, target: Target, job: str, batch_id: int) -> None:
     if isinstance(target, KafkaTarget):
         kafka = records.select(F.lit(topic).alias("topic"), "key", "value").write.format("kafka")
         kafka.option("kafka.bootstrap.servers", target.servers).save()
     else:
-        records.write.mode("overwrite").parquet(f"{target.path}/topics/topic={topic}/batch_id={batch_id}")
+        records.write.mode("overwrite").parquet(f"{target.path}/topics/topic={topic}/job={job}/batch_id={batch_id}")
 
 
 def read_committed(spark: SparkSession, target: FileTarget, topic: str) -> DataFrame:
-    """The records of a topic from batches that reached every sink."""
+    """The records of a topic from batches that reached every sink of their job."""
     records = spark.read.option("basePath", f"{target.path}/topics").parquet(f"{target.path}/topics/topic={topic}")
     commits = spark.read.parquet(f"{target.path}/commits")
-    return records.join(commits, "batch_id", "left_semi").drop("batch_id")
+    return records.join(commits, ["job", "batch_id"], "left_semi").drop("job", "batch_id")
 
 
 def resume(start: Callable[[StreamOptions], StreamingQuery], options: StreamOptions) -> StreamingQuery:

@@ -82,7 +82,16 @@ def test_batch_run_writes_once(spark, log):
     root = work_dir(spark, "declared-batch")
     for _ in range(2):
         assert run_pipeline(spark, with_paths(JOBS["stream-multi"], log, f"{root}/out")) is None
-    assert spark.read.parquet(f"{root}/out").count() == 5
+    assert read_topic(spark, FileTarget(f"{root}/out")).count() == 5
+
+
+def test_batch_jobs_share_a_target(spark, log):
+    root = work_dir(spark, "declared-shared")
+    for name in ("stream-multi", "stream-envelope", "stream-multi"):
+        run_pipeline(spark, with_paths(JOBS[name], log, f"{root}/out"))
+    records = read_topic(spark, FileTarget(f"{root}/out"))
+    got = {r.topic: r["count"] for r in records.groupBy("topic").count().collect()}
+    assert got == {"s.datastream.orders": 5, "s.yaml-pipeline.orders": 3}
 
 
 def test_parallelism_limits_the_writers(spark, log):

@@ -75,6 +75,41 @@ def test_append_in_many_batches_equals_the_batch(spark, small, chunks):
     assert read_topic(spark, target, "topic.b").count() == 0
 
 
+def test_jobs_share_a_target(spark, small, chunks):
+    target, options = unit(spark, "shared")
+    for name in ("one", "two"):
+        own = StreamOptions("t", name, options.checkpoint_root, interval=None)
+        write_append(derived.outbox_envelopes(stream(spark, chunks)), name, target, own).awaitTermination()
+    want = derived.outbox_envelopes(derived.events(spark, small))
+    for name in ("one", "two"):
+        assert rows(read_topic(spark, target, name), "value") == rows(want, "value")
+
+
+def test_a_job_without_commits_hides_no_other(spark, chunks):
+    target, options = unit(spark, "entered")
+    target.enter(spark, "t-later")
+    with pytest.raises(ValueError, match="no job"):
+        read_topic(spark, target)
+    write_append(derived.outbox_envelopes(stream(spark, chunks, 5)), "one", target, options).awaitTermination()
+    assert read_topic(spark, target).count() == 1000
+
+
+def test_statement_sets_share_a_target(spark, chunks):
+    target, options = unit(spark, "shared-sets")
+    ids = Statement("a", lambda batch: batch.select(F.to_json(F.struct("event_id")).alias("value")))
+
+    def breaks(batch):
+        raise RuntimeError("sink is down")
+
+    whole = StreamOptions("t", "whole", options.checkpoint_root, interval=None)
+    run_statement_set(stream(spark, chunks), [ids], target, whole).awaitTermination()
+    # Its first batch reaches one sink of two: the other job's commit of a batch of that number does not show it.
+    half = StreamOptions("t", "half", options.checkpoint_root, interval=None)
+    with pytest.raises(Exception, match="sink is down"):
+        run_statement_set(stream(spark, chunks), [ids, Statement("b", breaks)], target, half).awaitTermination()
+    assert read_committed(spark, target, "a").count() == 1000
+
+
 def test_restart_emits_each_record_once(spark, small, chunks):
     target, options = unit(spark, "restart")
     log = derived.outbox_envelopes(stream(spark, chunks))
