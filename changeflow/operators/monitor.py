@@ -140,14 +140,20 @@ def alert_transitions(df: DataFrame) -> DataFrame:
 # --- silence, lag, health -----------------------------------------------------------------------------------------
 
 
-def silence(df: DataFrame, job: str, ts: str = "ts") -> DataFrame:
-    """Spans of at least a whole minute in which a job consumed nothing, between minutes in which it did."""
+def silence(df: DataFrame, job: str, ts: str = "ts", now: Column | None = None) -> DataFrame:
+    """Spans of at least a whole minute in which a job consumed nothing, between minutes in which it did.
+
+    With ``now`` the span after a job's last minute counts too, up to the minute of ``now``; ``still_silent`` marks it. So a job
+    that stopped for good is reported.
+    """
     minutes = df.select(F.col(job).alias("job_name"), _minute(ts).alias("minute")).distinct()
     step = F.expr("INTERVAL 1 MINUTE")
+    following = F.lead("minute").over(_per_job())
     spans = minutes.select(
         "job_name",
         (F.col("minute") + step).alias("silent_from"),
-        F.lead("minute").over(_per_job()).alias("silent_until"),
+        (following if now is None else F.coalesce(following, F.date_trunc("minute", now).cast("timestamp_ntz"))).alias("silent_until"),
+        *([] if now is None else [following.isNull().alias("still_silent")]),
     ).where(F.col("silent_until") > F.col("silent_from"))
     return spans.withColumn(
         "silent_minutes", F.timestamp_diff("MINUTE", F.col("silent_from"), F.col("silent_until")).cast("bigint")

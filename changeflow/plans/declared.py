@@ -58,7 +58,7 @@ def _names(where: str, given: dict, known: set[str], required: set[str]) -> None
 
 
 def plan_pipeline(spark: SparkSession, spec: Spec) -> DataFrame:
-    """The topic records ``topic, key, value`` of a declared job."""
+    """The topic records ``topic, key, value`` of a declared job, of upsert jobs with their ``offset``."""
     check_spec(spec)
     source = spec["source"]
     changes = read_changelog(
@@ -100,9 +100,12 @@ def _transform(changes: DataFrame, spec: Spec) -> DataFrame:
 
 
 def upsert_records(changes: DataFrame, tables: list[TableSpec], tag: str, prefix: str) -> DataFrame:
-    """Keyed records of several tables in one pass over the changes, a topic per table."""
+    """Keyed records of several tables in one pass over the changes, a topic per table.
+
+    A delete has a null value. ``offset`` is the position of the change, by which ``read_upsert`` folds a topic.
+    """
     named = changes.withColumn("_table", F.get_json_object("value", "$.source.table"))
-    keys, values, topics = [], [], []
+    keys, values, topics, offsets = [], [], [], []
     for spec in tables:
         mine = F.col("_table") == spec.name
         envelope = F.from_json(F.when(mine, F.col("value")), envelope_type(spec.schema), WIRE)
@@ -111,11 +114,15 @@ def upsert_records(changes: DataFrame, tables: list[TableSpec], tag: str, prefix
         row = F.struct(*[after[c].alias(c) for c in spec.schema.names], F.lit(tag).alias("job_variant"))
         key = F.struct(*[F.coalesce(after[c], before[c]).alias(c) for c in spec.key])
         keys.append(F.when(mine, F.to_json(key, WIRE)))
+        offsets.append(F.when(mine, F.col(f"_{spec.name}")["source"]["pos"]))
         values.append(F.when(mine & after.isNotNull(), F.to_json(row, WIRE)))
         topics.append(F.when(mine, F.lit(f"{prefix}.{spec.name}")))
     wanted = F.col("_table").isin(*[spec.name for spec in tables])
     return named.where(wanted).select(
-        _first(topics).alias("topic"), _first(keys).alias("key"), _first(values).alias("value")
+        _first(topics).alias("topic"),
+        _first(offsets).alias("offset"),
+        _first(keys).alias("key"),
+        _first(values).alias("value"),
     )
 
 
@@ -134,7 +141,7 @@ def run_pipeline(spark: SparkSession, spec: Spec) -> StreamingQuery | None:
         )
         return write_routed(records, target, options, sink.get("files-per-topic"))
     if isinstance(target, KafkaTarget):
-        records.write.format("kafka").option("kafka.bootstrap.servers", target.servers).save()
+        records.select("topic", "key", "value").write.format("kafka").option("kafka.bootstrap.servers", target.servers).save()
     else:
         # A run replaces what the same job wrote before, and nothing of other jobs.
         options = StreamOptions(settings.get("prefix", "changeflow"), settings["name"], "unused")

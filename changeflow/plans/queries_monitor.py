@@ -142,6 +142,18 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return silence(derived.events(spark, folder), "event_type")
 
 
+@query(
+    "silence_open",
+    f"""SELECT job_name, minute + INTERVAL 1 MINUTE AS silent_from, COALESCE(following, TIMESTAMP '{NOW}') AS silent_until,
+            following IS NULL AS still_silent, CAST(epoch(COALESCE(following, TIMESTAMP '{NOW}') - minute) / 60 - 1 AS BIGINT) AS silent_minutes
+        FROM (SELECT *, lead(minute) OVER (PARTITION BY job_name ORDER BY minute) AS following
+            FROM (SELECT DISTINCT event_type AS job_name, time_bucket(INTERVAL 1 MINUTE, ts) AS minute FROM events) a) b
+        WHERE COALESCE(following, TIMESTAMP '{NOW}') > minute + INTERVAL 1 MINUTE""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return silence(derived.events(spark, folder), "event_type", now=F.lit(NOW).cast("timestamp_ntz"))
+
+
 @query(
     "source_lag",
     f"""SELECT event_type AS job_name, max(ts) AS last_event,

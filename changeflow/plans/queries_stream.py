@@ -91,9 +91,10 @@ def sql_statements(prefix: str) -> list[Statement]:
 
     def of(spec):
         def select(batch: DataFrame) -> DataFrame:
-            rows = project_tagged(read_table(batch, spec), [*spec.schema.names, "op"], "sql-api")
-            values = [c for c in rows.columns if c != "op"]
-            return to_upsert_record(rows, list(spec.key), values, F.col("op") == "d").select("key", "value")
+            rows = project_tagged(read_table(batch, spec), [*spec.schema.names, "op", "pos"], "sql-api")
+            values = [c for c in rows.columns if c not in ("op", "pos")]
+            records = to_upsert_record(rows, list(spec.key), values, F.col("op") == "d")
+            return records.select("key", "value", F.col("pos").alias("offset"))
 
         return select
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from changeflow.plans.declared import check_spec, patterns, plan_pipeline, run_pipeline, with_paths
 from changeflow.session import work_dir
-from changeflow.streaming.sinks import FileTarget, read_topic
+from changeflow.streaming.sinks import FileTarget, read_topic, read_upsert
 
 JOBS = patterns("shop", "s", "l")
 
@@ -85,6 +85,34 @@ def test_batch_run_writes_once(spark, log):
     assert read_topic(spark, FileTarget(f"{root}/out")).count() == 5
 
 
+@pytest.mark.parametrize("streaming", [False, True])
+def test_upsert_topics_fold_to_the_live_rows(spark, streaming):
+    def change(pos, table, op, before, after):
+        source = {"db": "shop", "table": table, "pos": pos}
+        return json.dumps({"before": before, "after": after, "op": op, "source": source})
+
+    texts = [
+        change(5, "orders", "d", {"id": 2}, None),
+        change(4, "orders", "u", {"id": 1, "status": "NEW"}, {"id": 1, "status": "PAID"}),
+        change(1, "orders", "c", None, {"id": 1, "status": "NEW"}),
+        change(2, "orders", "c", None, {"id": 2, "status": "NEW"}),
+        change(3, "customers", "c", None, {"id": 3, "email": "a@example.com"}),
+        change(6, "customers", "u", {"id": 3}, {"id": 3, "email": "b@example.com"}),
+    ]
+    path, root = work_dir(spark, "upsert-log"), work_dir(spark, "upsert-fold")
+    spark.createDataFrame([(t,) for t in texts], "value STRING").write.parquet(path)
+    query = run_pipeline(spark, with_paths(JOBS["stream-sql"], path, f"{root}/out", f"{root}/cp", streaming))
+    if streaming:
+        query.processAllAvailable()
+        query.stop()
+
+    def live(table):
+        return [json.loads(r.value) for r in read_upsert(spark, FileTarget(f"{root}/out"), f"s.sql-api.{table}").collect()]
+
+    assert [(r["id"], r["status"]) for r in live("orders")] == [(1, "PAID")]
+    assert [(r["id"], r["email"]) for r in live("customers")] == [(3, "b@example.com")]
+
+
 def test_batch_jobs_share_a_target(spark, log):
     root = work_dir(spark, "declared-shared")
     for name in ("stream-multi", "stream-envelope", "stream-multi"):

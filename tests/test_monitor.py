@@ -91,6 +91,13 @@ def test_silence(spark):
     assert got == [(2, 4, 2)]
 
 
+def test_silence_of_a_job_that_stopped(spark):
+    frame = samples(spark, [("j", 0, 0, 0), ("j", 3.5, 0, 0), ("k", 1, 0, 0), ("l", 9, 0, 0)])
+    found = silence(frame, "job_name", now=F.lit(at(10.7))).collect()
+    got = {(r.job_name, (r.silent_from - START).seconds // 60, r.silent_minutes, r.still_silent) for r in found}
+    assert got == {("j", 1, 2, False), ("j", 4, 6, True), ("k", 2, 8, True)}
+
+
 def test_lags(spark):
     frame = samples(spark, [("j", 1, 0, 0), ("j", 0, 0, 0)])
     assert source_lag(frame, F.lit(at(2.5)), "job_name").first().lag_ms == 90_000
