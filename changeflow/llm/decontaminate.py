@@ -1,12 +1,16 @@
 """Benchmark decontamination by template windows.
 
 Texts are canonicalised to templates: names, numbers and units become typed placeholders. Windows of template words of each
-document are joined with those of the benchmark items by hash. An item whose windows cover enough of it is then checked
-for slot consistency: each value an item has in a slot must go with one value of the document throughout. Equal values
-are a verbatim leak, other values a question with new parameters.
+document are joined with those of the benchmark items by hash. The windows found of an item are aligned along the document:
+hits of about the same offset between document and item that follow one another are one occurrence. An occurrence counts if it
+covers half of the item's words, or 13 of them in a row but for edited words, and if its slots are consistent: each value the item has
+in a slot must go with one value of the occurrence throughout. Equal values are a verbatim leak, other values a question
+with new parameters. An item is reported if any of its occurrences counts.
 
-Null texts count as empty, and have no windows. Items shorter than a window are matched as a whole. Repeated rows of a document
-count once, as windows are counted by their place in the item. Empty tables give no rows. Other columns are not looked at.
+A document may have the first word of an item inside a sentence, where a capital marks a name; items are looked up both ways.
+
+Null texts count as empty, and have no windows. Items of few words are matched as a whole. Repeated rows of a document
+count once. Empty tables give no rows. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -16,9 +20,14 @@ from pyspark.sql import functions as F
 
 from changeflow.llm.common import at_most, cut, once
 
-WIDTH = 8
-COVERAGE = 0.5
+#: With one word of fifteen changed, seven words stay on one side of it at least.
+WIDTH = 7
+#: Share of the item's words to be covered, and the least number; or so many in a row, over gaps of so many edited words.
+COVERAGE, LEAST_WORDS = 0.5, 8
+STRETCH, EDITED = 13, 2
 CONSISTENT = 0.8
+#: Words by which the offset may shift between hits of an occurrence, and that may lie between their beginnings.
+SHIFT, GAP = 6, 24
 #: Rows of up to five integers up to which a table is sent to every executor; larger ones are shuffled.
 BROADCAST_ROWS = 400_000
 
@@ -72,16 +81,27 @@ def windows(words: DataFrame, width: int) -> DataFrame:
 
 
 def item_windows(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Rows (item_id, width, at, hash, total, t, item_v): windows of the items; of items too short for one, the whole item."""
+    """Rows (item_id, form, width, at, hash, words, t, item_v): windows of the items; of items of few words, the whole item.
+
+    Items of under twice the width and a word have shorter windows, so that one edited word leaves some. Form 1 has the first word as a name.
+    """
     words = templated(benchmark, "item_id", True).filter(F.size("t") > 0)
-    size = words.select("id", "t", "v", F.least(F.size("t"), F.lit(width)).alias("width"))
+    plain = F.col("t")[0].rlike("^\\p{L}")
+    named = words.filter(plain).select(
+        "id", F.expr(f"concat(array('{NAME}'), slice(t, 2, size(t)))").alias("t"), F.expr(f"concat(array('{NAME}' || t[0]), slice(coalesce(v, t), 2, size(t)))").alias("v")
+    )
+    words = words.select("id", "t", "v", F.lit(0).alias("form")).unionByName(named.withColumn("form", F.lit(1)))
+    own = F.when(F.size("t") <= width, F.size("t")).otherwise(F.least(F.lit(width), F.greatest(F.lit(5), F.floor((F.size("t") - 1) / 2))))
+    size = words.select("id", "form", "t", "v", own.cast("int").alias("width"))
     hashed = size.select("*", once(F.expr("transform(t, x -> xxhash64(x))")).alias("h"))
     # A hash of the words' hashes, one by one, as for the documents.
     cases = " ".join(f"WHEN {k} THEN xxhash64({', '.join(f'h[i + {j}]' for j in range(k))})" for k in range(1, width + 1))
     made = F.expr(f"transform(slice(h, 1, size(h) - width + 1), (x, i) -> CASE width {cases} END)")
-    out = hashed.select("id", "t", "v", "width", (F.size("t") - F.col("width") + 1).alias("total"), F.posexplode(made).alias("at", "hash"))
+    out = hashed.select("id", "form", "t", "v", "width", F.size("t").alias("words"), F.posexplode(made).alias("at", "hash"))
+    # The forms differ in the first window only.
+    out = out.filter("form = 0 OR at = 0")
     part = [F.expr(f"slice({c}, at + 1, width)").alias(n) for c, n in (("t", "t"), ("v", "item_v"))]
-    return cut(out.select(F.col("id").alias("item_id"), "width", "at", "hash", "total", *part).distinct())
+    return cut(out.select(F.col("id").alias("item_id"), "form", "width", "at", "hash", "words", *part).distinct())
 
 
 def _sent(frame: DataFrame) -> DataFrame:
@@ -89,41 +109,76 @@ def _sent(frame: DataFrame) -> DataFrame:
     return F.broadcast(frame) if at_most(frame, BROADCAST_ROWS) else frame
 
 
+def occurrences(hits: DataFrame) -> DataFrame:
+    """``hits`` with ``occurrence``: a number for those of a document and item that are aligned and follow one another.
+
+    Of the item's windows with equal words, each place of the document keeps the one whose offset has the most hits.
+    """
+    pair = "PARTITION BY doc_id, item_id"
+    hits = hits.withColumn("offset", F.col("doc_at") - F.col("at"))
+    hits = hits.withColumn("n", F.expr(f"count(*) OVER ({pair}, offset)"))
+    one = hits.withColumn("k", F.expr(f"row_number() OVER ({pair}, doc_at ORDER BY n DESC, offset, form)")).filter("k = 1").drop("n", "k")
+    steps = one.withColumn("s", F.expr(f"IF(offset - lag(offset) OVER ({pair} ORDER BY offset, doc_at) > {SHIFT}, 1, 0)"))
+    bands = steps.withColumn("band", F.expr(f"sum(s) OVER ({pair} ORDER BY offset, doc_at ROWS UNBOUNDED PRECEDING)"))
+    along = f"{pair}, band ORDER BY doc_at"
+    far = f"doc_at - lag(doc_at) OVER ({along}) > {GAP} OR abs(offset - lag(offset) OVER ({along})) > {SHIFT}"
+    breaks = bands.withColumn("s", F.expr(f"IF({far}, 1, 0)"))
+    return breaks.withColumn("occurrence", F.expr(f"struct(band, sum(s) OVER ({along} ROWS UNBOUNDED PRECEDING) AS part)")).drop("s", "band", "offset")
+
+
+def _covered(found: DataFrame) -> DataFrame:
+    """Rows (doc_id, item_id, occurrence, n_windows, coverage) of occurrences that cover enough of their item."""
+    key = ["doc_id", "item_id", "occurrence"]
+    # At most as many places as the item has words.
+    ats = found.groupBy(*key, "words", "width").agg(F.array_sort(F.collect_set("at")).alias("ats"))
+    more = "x + width - greatest(x, c.e)"
+    run = f"IF(x > c.e + {EDITED}, width, c.r + {more})"
+    seen = F.expr(
+        f"aggregate(ats, struct(-{EDITED + 1} AS e, 0 AS n, 0 AS r, 0 AS best), (c, x) -> struct(x + width AS e, c.n + {more} AS n,"
+        f" {run} AS r, greatest(c.best, {run}) AS best))"
+    )
+    ats = ats.select(*key, "words", F.size("ats").cast("long").alias("n_windows"), once(seen).alias("c"))
+    share = f"c.n >= {COVERAGE} * words AND c.n >= least(words, {LEAST_WORDS})"
+    return ats.filter(f"({share}) OR c.best >= {STRETCH}").select(*key, "n_windows", F.expr("round(c.n / words, 6)").alias("coverage"))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """Rows (doc_id, item_id, n_windows, coverage, kind) of items found in documents; kind is verbatim or parameters.
 
-    ``n_windows`` counts the item's windows that the document holds, ``coverage`` is their share. Values are looked up in a
+    Of the occurrences of an item that count, the row is of a verbatim one if there is one, and of the one that covers most.
+    ``n_windows`` counts its windows, ``coverage`` is the share of the item's words in them. Values are looked up in a
     second pass over the documents that hold an item, as few windows of the first pass need them.
     """
     items = item_windows(benchmark, width)
     words = templated(docs, "doc_id", False)
     hits = None
     for (k,) in sorted(items.select("width").distinct().collect()) or [(width,)]:
-        own = _sent(items.filter(F.col("width") == k).select("hash", "item_id", "width", "at", "total"))
+        own = _sent(items.filter(F.col("width") == k).select("hash", "item_id", "form", "width", "at", "words"))
         found = windows(words, k).join(own, "hash").drop("hash")
         hits = found if hits is None else hits.unionByName(found)
-    hits = cut(hits.withColumnRenamed("id", "doc_id").distinct())
-    covered = hits.groupBy("doc_id", "item_id", "total").agg(F.count_distinct("at").cast("long").alias("n_windows"))
-    covered = cut(covered.withColumn("coverage", F.round(F.col("n_windows") / F.col("total"), 6)).filter(F.col("coverage") >= COVERAGE))
+    hits = hits.withColumnRenamed("id", "doc_id").filter("doc_id IS NOT NULL").distinct()
+    key = ["doc_id", "item_id", "occurrence"]
+    hits = cut(occurrences(hits))
+    covered = cut(_covered(hits))
+    hits = hits.join(covered.select(*key), key, "left_semi")
 
     found = _sent(covered.select("doc_id").distinct())
     values = templated(docs.join(found, "doc_id", "left_semi").select("doc_id", "text"), "doc_id", True).filter("v IS NOT NULL")
-    opened = values.join(hits, values["id"] == hits["doc_id"]).select(
-        "doc_id", "item_id", "at", F.expr("slice(v, doc_at + 1, width)").alias("v")
-    )
-    item_side = items.filter("item_v IS NOT NULL").select("item_id", "at", "t", "item_v")
+    opened = values.join(hits, values["id"] == hits["doc_id"]).select(*key, "at", "form", F.expr("slice(v, doc_at + 1, width)").alias("v"))
+    item_side = items.filter("item_v IS NOT NULL").select("item_id", "at", "form", "t", "item_v")
     zipped = F.expr(f"filter(arrays_zip(t, item_v, v), x -> x.t RLIKE '[{MARKS}]')")
-    pairs = opened.join(item_side, ["item_id", "at"]).select("doc_id", "item_id", F.explode(zipped).alias("s")).select("doc_id", "item_id", "s.*")
-    seen = pairs.groupBy("doc_id", "item_id", "t", "item_v").agg(F.min("v").alias("least"), F.max("v").alias("most"))
-    slots = seen.groupBy("doc_id", "item_id").agg(
+    pairs = opened.join(item_side, ["item_id", "at", "form"]).select(*key, F.explode(zipped).alias("s")).select(*key, "s.*")
+    seen = pairs.groupBy(*key, "t", "item_v").agg(F.min("v").alias("least"), F.max("v").alias("most"))
+    slots = seen.groupBy(*key).agg(
         F.count("*").alias("n"),
         F.count_if(F.col("least") == F.col("most")).alias("same"),
         F.count_if((F.col("least") == F.col("item_v")) & (F.col("most") == F.col("item_v"))).alias("equal"),
     )
     n, same, equal = (F.coalesce(c, F.lit(0)) for c in ("n", "same", "equal"))
-    kind = F.when(equal == n, "verbatim").otherwise("parameters")
-    out = covered.join(slots, ["doc_id", "item_id"], "left").filter(same >= CONSISTENT * n)
-    return out.select("doc_id", "item_id", "n_windows", "coverage", kind.alias("kind"))
+    good = covered.join(slots, key, "left").filter(same >= CONSISTENT * n)
+    best = good.groupBy("doc_id", "item_id").agg(F.max(F.struct((equal == n).alias("verbatim"), "coverage", "n_windows")).alias("b"))
+    kind = F.when(F.col("b.verbatim"), "verbatim").otherwise("parameters")
+    return best.select("doc_id", "item_id", "b.n_windows", "b.coverage", kind.alias("kind"))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
