@@ -22,3 +22,18 @@ def test_each_occurrence_is_judged(spark):
     texts = [ITEM + FILLER + " " + OTHER, OTHER + " " + THIRD, OTHER + FILLER + THIRD, ITEM + " " + ITEM, numbers + FILLER + " " + ITEM + " " + numbers, SPLIT.replace("Mary", "Ann") + FILLER]
     got = found(spark, texts, [ITEM])
     assert {d: got.get(d) for d in range(5)} == {0: "verbatim", 1: "parameters", 2: "parameters", 3: "verbatim", 4: "verbatim"}
+
+
+def test_partial_and_edited_passages(spark):
+    long = [f"word{'abcdefghijklmnopqrstuvwxyz'[k % 26]}{'xyz'[k // 26]}" for k in range(59)]
+    middle, short = long[:38], long[:15]
+    edit = lambda words, *at: " ".join("other" if k in at else w for k, w in enumerate(words))
+    items = [" ".join(long), "Sharp green lizards climb tall walls", " ".join(f"m{w}" for w in middle), " ".join(f"s{w}" for w in short)]
+    texts = [
+        "they said " + " ".join(long[10:42]) + FILLER,
+        edit([f"m{w}" for w in middle], 12, 24) + FILLER,
+        "we saw " + edit([f"s{w}" for w in short], 7) + FILLER,
+        "we saw that Sharp green lizards climb tall walls in spring",
+        "we saw " + " ".join(long[10:18]) + FILLER,
+    ]
+    assert found(spark, texts, items) == {k: "verbatim" for k in range(4)}
