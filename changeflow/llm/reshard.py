@@ -1,15 +1,19 @@
 """Resharding by minimum-cost flow.
 
-From the bytes of the old shards and the capacities of the new ones a flow that moves the fewest bytes is solved on the
+From the bytes of the old shards and the capacities of the new ones one flow that moves the fewest bytes is solved on the
 graph of shards. Old shards are cut into blocks; a block goes where the flow sends its bytes, and only a block on a border
-between two targets is split, at a row. Shards that neither give nor receive keep their files.
+between two targets is split, at a row. Each border is cut in small rows of the shard that gives, if it has any. Shards that
+neither give nor receive keep their files.
 
-The law is ``bytes``: capacities are equal, so sizes differ by about one row. Null texts have the size of the overhead alone.
-Repeated rows are placed row by row. An empty table gives no rows. Other columns are not looked at.
+The law is ``bytes``: sizes are in proportion to the capacities, by default equal, but for about one row at each border. Null texts
+have the size of the overhead alone. Repeated rows are placed row by row. An empty table gives no rows. Other columns are not
+looked at.
 """
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +21,7 @@ from changeflow.llm.common import cut
 
 OVERHEAD = 8
 BLOCKS = 256
-#: Share of all bytes that is kept back in small rows to even out the shards; the order of rows in a block.
+#: Share of all bytes that counts as small rows, which even out borders; the order of rows in a block.
 FILLING = 0.2
 ORDER = "doc_id, text_crc32, size"
 
@@ -65,38 +69,24 @@ def min_cost_flow(supply: list[int], capacity: list[int], cost: list[list[int]])
     return flow
 
 
-def even(total: int, shards: int) -> list[int]:
-    return [total // shards + (k < total % shards) for k in range(shards)]
-
+def goals(total: int, capacities: list[int]) -> list[int]:
+    """Parts of ``total`` in proportion to the capacities."""
+    ends = [total * at // sum(capacities) for at in accumulate(capacities)]
+    return [end - start for start, end in zip([0, *ends], ends)]
 
-def _placed(rows: DataFrame, shards: int, room: list[int] | None) -> DataFrame:
-    """``rows`` (doc_id, size, text_crc32, old, block) with their new shard, for the given room or equal sizes.
 
-    The driver gets the bytes of each old shard.
-    """
-    sums = rows.groupBy("old", "block").agg(F.sum("size").alias("bytes"))
-    have = {r["old"]: r["bytes"] for r in sums.groupBy("old").agg(F.sum("bytes").alias("bytes")).collect()}
-    count = max(have, default=-1) + 1
-    supply = [have.get(k, 0) for k in range(count)]
-    if room is None:
-        room = even(sum(supply), shards)
-    else:
-        # Where large rows have overfilled a shard, the others have as much less room.
-        short = sum(room) - sum(supply)
-        for k in sorted(range(shards), key=lambda k: -room[k]):
-            part = max(0, min(room[k], -(-short // (shards - k)))) if short > 0 else 0
-            room[k], short = room[k] - part, short - part
-        room[0] += max(0, sum(supply) - sum(room))
-    cost = [[int(i != j) for j in range(shards)] for i in range(count)]
+def _placed(rows: DataFrame, parts: list[list[int]]) -> DataFrame:
+    """``rows`` (doc_id, size, text_crc32, old, block) with their new shard; ``parts[i][j]`` bytes of old shard i go to j."""
     # Segments of an old shard's bytes: first what stays, then what goes to each new shard. At most shards * shards rows.
     segments = []
-    for i, row in enumerate(min_cost_flow(supply, room, cost)):
+    for i, row in enumerate(parts):
         at = 0
         for j in sorted((j for j, f in enumerate(row) if f), key=lambda j: (j != i, j)):
             segments.append((i, at, at + row[j], j))
             at += row[j]
     targets = rows.sparkSession.createDataFrame(segments, "old_shard int, low long, high long, shard int")
     before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    sums = rows.groupBy("old", "block").agg(F.sum("size").alias("bytes"))
     starts = sums.selectExpr("old", "block", f"coalesce(sum(bytes) OVER (PARTITION BY old ORDER BY block {before}), 0) AS block_at")
     at = rows.selectExpr("*", f"coalesce(sum(size) OVER (PARTITION BY old, block ORDER BY {ORDER} {before}), 0) AS row_at")
     # A row goes where its middle falls.
@@ -105,8 +95,37 @@ def _placed(rows: DataFrame, shards: int, room: list[int] | None) -> DataFrame:
     return at.join(F.broadcast(targets), inside).select("doc_id", "size", "text_crc32", "old", "block", "shard")
 
 
-def reshard(docs: DataFrame, old: Column, shards: int, blocks: int = BLOCKS) -> DataFrame:
-    """Rows (doc_id, size, text_crc32, old, shard, slot) for each row of ``docs``; ``old`` is its shard so far, from 0."""
+def _large_parts(flow: list[int], own: int, large: int, small: int, most: int) -> list[int]:
+    """What of a shard's flow its large rows take: of each part that moves so much less that small rows fill the border."""
+    moving = [j for j, f in enumerate(flow) if f and j != own]
+    spare, left, parts = min(most, small // max(1, len(moving))), large, [0] * len(flow)
+    for j in moving:
+        parts[j] = min(left, max(0, flow[j] - spare))
+        left -= parts[j]
+    if left:
+        parts[own if own < len(flow) else max(moving, key=lambda j: flow[j])] += left
+    return parts
+
+
+def _small_parts(flow: list[int], own: int, got: list[int], small: int) -> list[int]:
+    """What is left of a shard's flow for its small rows; where large rows went over a border, what stays or the largest part gives way."""
+    parts = [max(0, f - g) for f, g in zip(flow, got)]
+    over = sum(parts) - small
+    for j in sorted(range(len(parts)), key=lambda j: (j != own, -parts[j])):
+        part = min(parts[j], over)
+        parts[j], over = parts[j] - part, over - part
+    return parts
+
+
+def reshard(docs: DataFrame, old: Column, shards: int, blocks: int = BLOCKS, capacities: list[int] | None = None) -> DataFrame:
+    """Rows (doc_id, size, text_crc32, old, shard, slot) for each row of ``docs``; ``old`` is its shard so far, from 0.
+
+    ``capacities``, one a new shard, say in which proportion they share all bytes. The driver gets the bytes of large and small rows
+    of each old shard, and of the large rows between each two shards.
+    """
+    capacities = [1] * shards if capacities is None else capacities
+    if len(capacities) != shards or min(capacities) < 0 or not sum(capacities):
+        raise ValueError("one capacity a shard, not all of them zero")
     text = F.coalesce("text", F.lit(""))
     rows = cut(
         docs.select(
@@ -117,20 +136,22 @@ def reshard(docs: DataFrame, old: Column, shards: int, blocks: int = BLOCKS) ->
             F.pmod(F.xxhash64("doc_id", text), F.lit(blocks)).cast("int").alias("block"),
         )
     )
-    # Rows above a power of two go first, so that the smaller ones even out what whole rows leave over.
-    bins = rows.groupBy(F.length(F.bin("size")).alias("bits")).agg(F.sum("size").alias("bytes")).collect()
-    goal, small = even(sum(r["bytes"] for r in bins), shards), 0
-    for r in sorted(bins, key=lambda r: r["bits"]):
-        small += r["bytes"]
-        if small >= FILLING * sum(goal):
-            border = 1 << r["bits"]
-            break
-    else:
+    found = rows.groupBy("old", F.length(F.bin("size")).alias("bits")).agg(F.sum("size").alias("bytes"), F.max("size").alias("most")).collect()
+    if not found:
         return rows.selectExpr("doc_id", "size", "text_crc32", "old", "0 AS shard", "0L AS slot").limit(0)
-    large = cut(_placed(rows.filter(F.col("size") >= border), shards, None))
-    got = {r["shard"]: r["bytes"] for r in large.groupBy("shard").agg(F.sum("size").alias("bytes")).collect()}
-    rest = _placed(rows.filter(F.col("size") < border), shards, [max(0, g - got.get(k, 0)) for k, g in enumerate(goal)])
-    placed = cut(large.unionByName(rest))
+    count, total = max(r["old"] for r in found) + 1, sum(r["bytes"] for r in found)
+    # Rows under a power of two are small; the least one that gives them their share.
+    bits = next(b for b in sorted({r["bits"] for r in found}) if sum(r["bytes"] for r in found if r["bits"] <= b) >= FILLING * total)
+    small, large = ([sum(r["bytes"] for r in found if r["old"] == i and (r["bits"] <= bits) == s) for i in range(count)] for s in (True, False))
+    cost = [[int(i != j) for j in range(shards)] for i in range(count)]
+    flow = min_cost_flow([s + g for s, g in zip(small, large)], goals(total, capacities), cost)
+    most = max(r["most"] for r in found)
+    first = cut(_placed(rows.filter(F.col("size") >= 1 << bits), [_large_parts(f, i, large[i], small[i], most) for i, f in enumerate(flow)]))
+    got = [[0] * shards for _ in range(count)]
+    for r in first.groupBy("old", "shard").agg(F.sum("size").alias("bytes")).collect():
+        got[r["old"]][r["shard"]] = r["bytes"]
+    rest = _placed(rows.filter(F.col("size") < 1 << bits), [_small_parts(f, i, got[i], small[i]) for i, f in enumerate(flow)])
+    placed = cut(first.unionByName(rest))
     before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     counts = placed.groupBy("shard", "old", "block").agg(F.count("*").alias("n"))
     offsets = counts.selectExpr("shard", "old", "block", f"coalesce(sum(n) OVER (PARTITION BY shard ORDER BY old, block {before}), 0) AS first")
@@ -143,10 +164,16 @@ def reshard(docs: DataFrame, old: Column, shards: int, blocks: int = BLOCKS) ->
 def rewrite(layout: DataFrame, docs: DataFrame, folder: str) -> None:
     """Write the rows of shards that give or receive below ``folder``, as ``shard=N``; folders of other shards stay.
 
-    ``docs`` and ``layout`` are joined by doc_id, which must be unique.
+    The folder of a shard that gave all its rows is removed, after the others are written. ``docs`` and ``layout`` are joined by
+    doc_id, which must be unique.
     """
     moved = layout.filter("old <> shard")
     affected = moved.select(F.explode(F.array("old", "shard")).alias("shard")).distinct()
     touched = layout.join(affected, "shard", "left_semi").select("doc_id", "shard", "slot")
+    emptied = moved.select(F.col("old").alias("shard")).distinct().join(layout, "shard", "left_anti").collect()
     out = docs.join(touched, "doc_id").repartition("shard").sortWithinPartitions("shard", "slot")
     out.write.partitionBy("shard").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(folder)
+    spark = docs.sparkSession
+    for (shard,) in emptied:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/shard={shard}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
