@@ -2,11 +2,27 @@
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import decontaminate, extract, packing, pii, quality, reshard, revisits, simhash, toxicity, urls
+from changeflow.llm import (
+    decontaminate,
+    extract,
+    packing,
+    phrases,
+    pii,
+    quality,
+    reshard,
+    revisits,
+    rotated,
+    runs,
+    simhash,
+    toxicity,
+    urls,
+)
 from changeflow.llm.common import table
 from changeflow.plans.registry import Query
 
@@ -159,3 +175,97 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_main_text")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return extract.extract(table(spark, folder, "pages"))
+
+
+@query(
+    "op11_inner_product",
+    """
+    WITH v AS (
+        SELECT vec_id, min(embedding::DOUBLE[]) AS e FROM embeddings
+        WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        GROUP BY vec_id
+    ), s AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_reduce(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i]), lambda x, y: x + y) AS score
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+        WHERE q.vec_id % 20 = 0
+    )
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM s QUALIFY rank <= 20
+    """,
+)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return rotated.nearest(table(spark, folder, "embeddings"), F.pmod("id", F.lit(20)) == 0)
+
+
+def repeated_tail(doc_id: int | None, text: str | None) -> list[bytes]:
+    """Words of a text; those of every tenth id by checksum repeat a stretch from some word on."""
+    words = runs.words_of(doc_id, text)
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    found = runs.periodic_runs(table(spark, folder, "documents"), repeated_tail)
+    longest = "array_min(transform(runs, r -> named_struct('l', -r.length, 'start', r.start, 'period', r.period)))"
+    lines = "array_join(transform(runs, r -> concat_ws(',', r.start, r.length, r.period) || '\\n'), '')"
+    return found.withColumn("longest", F.expr(longest)).selectExpr(
+        "doc_id",
+        "CAST(size(runs) AS BIGINT) AS n_runs",
+        "longest.start AS start",
+        "-longest.l AS length",
+        "longest.period AS period",
+        "(-1000 * longest.l) DIV longest.period AS exponent_milli",
+        f"sha2({lines}, 256) AS runs_sha256",
+        "sha2(collapsed, 256) AS collapsed_sha256",
+    )
+
+
+COLLOCATIONS = """
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents
+    ), w AS (
+        SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS ws FROM pieces
+    ), g AS (
+        SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i : i + k - 1], ' '))) AS phrase
+        FROM w, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(ws) >= k
+    ), totals AS (
+        SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang
+    ), f AS (
+        SELECT lang, phrase, k, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100 /*support*/
+    ), wider AS (
+        SELECT lang, part, max(a) AS a FROM (
+            SELECT lang, a, unnest([regexp_extract(phrase, '^(.*) [^ ]+$', 1), regexp_extract(phrase, '^[^ ]+ (.*)$', 1)]) AS part
+            FROM f WHERE k > 2) GROUP BY lang, part
+    ), c AS (
+        SELECT f.lang, f.phrase, f.a, f.k, string_split(f.phrase, ' ') AS ws
+        FROM f LEFT JOIN wider ON f.lang = wider.lang AND f.phrase = wider.part
+        WHERE f.k > 1 AND (wider.a IS NULL OR 100 * wider.a < 100 * f.a)
+    ), cuts AS (
+        SELECT c.*, j, array_to_string(ws[1:j], ' ') AS lp, array_to_string(ws[j + 1 :], ' ') AS rp
+        FROM c, (SELECT unnest([1, 2, 3, 4]) AS j) WHERE j < k
+    ), scored AS (
+        SELECT cuts.lang, cuts.phrase, cuts.a, cuts.j, x.a AS l, y.a AS r, totals.n,
+               CAST((1000::HUGEINT * cuts.a * totals.n) // (x.a::HUGEINT * y.a) AS BIGINT) AS score
+        FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = lp JOIN f y ON y.lang = cuts.lang AND y.phrase = rp
+        JOIN totals ON totals.lang = cuts.lang
+    ), least AS (
+        SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+    )
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+    FROM least QUALIFY rank <= 2000
+"""
+
+
+@query("op13_collocations", COLLOCATIONS)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
