@@ -18,7 +18,7 @@ from changeflow.operators.envelope import WIRE, envelope_type
 from changeflow.operators.route import route_outbox, route_outbox_single
 from changeflow.sources.changelog import OUTBOX_TABLE, read_changelog
 from changeflow.sources.tables import CUSTOMERS, ORDERS, OUTBOX_EVENTS, TableSpec
-from changeflow.streaming.sinks import FileTarget, KafkaTarget, StreamOptions, Target, write_routed
+from changeflow.streaming.sinks import FileTarget, KafkaTarget, StreamOptions, Target, write_keyed, write_routed
 
 Spec = dict[str, Any]
 
@@ -71,8 +71,8 @@ def plan_pipeline(spark: SparkSession, spec: Spec) -> DataFrame:
     )
     records = _transform(changes, spec)
     parallelism = spec["pipeline"].get("parallelism")
-    # An upper limit on writers; without it Spark takes as many tasks as the source has splits.
-    return records.coalesce(parallelism) if parallelism else records
+    # A limit on writers alone: reading and parsing keep the tasks of the source.
+    return records.repartition(parallelism) if parallelism else records
 
 
 def _transform(changes: DataFrame, spec: Spec) -> DataFrame:
@@ -139,6 +139,10 @@ def run_pipeline(spark: SparkSession, spec: Spec) -> StreamingQuery | None:
         options = StreamOptions(
             settings.get("prefix", "changeflow"), settings["name"], settings["checkpoint"], settings.get("interval")
         )
+        if spec.get("transform", {}).get("type") == "upsert":
+            prefix = spec["transform"]["prefix"]
+            topics = [f"{prefix}.{name.rpartition('.')[2]}" for name in spec["source"]["tables"]]
+            return write_keyed(records, topics, target, options)
         return write_routed(records, target, options, sink.get("files-per-topic"))
     if isinstance(target, KafkaTarget):
         records.select("topic", "key", "value").write.format("kafka").option("kafka.bootstrap.servers", target.servers).save()

@@ -7,16 +7,17 @@ from pyspark.sql import functions as F
 
 from changeflow.functions.topics import topic_name
 from changeflow.operators.changelog import dedup_events
-from changeflow.operators.enrich import project_tagged, tag_event
-from changeflow.operators.envelope import parse_envelope, parse_flat, to_envelope, to_upsert_record
+from changeflow.operators.enrich import tag_event
+from changeflow.operators.envelope import parse_envelope, parse_flat, source_struct, to_envelope
 from changeflow.operators.route import route_outbox
+from changeflow.plans.declared import patterns, run_pipeline, upsert_records, with_paths
 from changeflow.plans.expected import with_inputs
 from changeflow.plans.queries_changelog import FOLD
 from changeflow.plans.queries_format import NOW, STREAM_PREFIX
 from changeflow.plans.registry import query
 from changeflow.session import work_dir
 from changeflow.sources import derived
-from changeflow.sources.tables import CUSTOMERS, ORDERS, read_parquet_stream, read_table
+from changeflow.sources.tables import CUSTOMERS, ORDERS, read_parquet_stream
 from changeflow.streaming.live import counter_growth_live, lifecycle_live, read_state, silence_live, write_state
 from changeflow.streaming.sinks import (
     FileTarget,
@@ -28,6 +29,7 @@ from changeflow.streaming.sinks import (
     resume,
     run_statement_set,
     write_append,
+    write_keyed,
     write_routed,
     write_upsert,
 )
@@ -86,19 +88,18 @@ def _database_stream(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def sql_statements(prefix: str) -> list[Statement]:
-    """Orders and customers, each to a keyed topic of its own."""
+def sql_records(changes: DataFrame, prefix: str) -> DataFrame:
+    """Keyed records of orders and customers: the texts are parsed here, once for all sinks."""
+    return upsert_records(changes, [ORDERS, CUSTOMERS], "sql-api", f"{prefix}.sql-api")
+
 
-    def of(spec):
-        def select(batch: DataFrame) -> DataFrame:
-            rows = project_tagged(read_table(batch, spec), [*spec.schema.names, "op", "pos"], "sql-api")
-            values = [c for c in rows.columns if c not in ("op", "pos")]
-            records = to_upsert_record(rows, list(spec.key), values, F.col("op") == "d")
-            return records.select("key", "value", F.col("pos").alias("offset"))
+def sql_statements(prefix: str) -> list[Statement]:
+    """Orders and customers, each to a keyed topic of its own, out of ``sql_records``."""
 
-        return select
+    def of(topic):
+        return lambda batch: batch.where(F.col("topic") == topic).select("key", "value", "offset")
 
-    return [Statement(f"{prefix}.sql-api.{spec.name}", of(spec)) for spec in (ORDERS, CUSTOMERS)]
+    return [Statement(topic, of(topic)) for topic in (f"{prefix}.sql-api.{spec.name}" for spec in (ORDERS, CUSTOMERS))]
 
 
 @query(
@@ -112,7 +113,8 @@ def sql_statements(prefix: str) -> list[Statement]:
 def _(spark: SparkSession, folder: str) -> DataFrame:
     target, options = _unit(spark, "statements")
     statements = sql_statements(STREAM_PREFIX)
-    run_statement_set(_database_stream(spark, folder), statements, target, options).awaitTermination()
+    records = sql_records(_database_stream(spark, folder), STREAM_PREFIX)
+    run_statement_set(records, statements, target, options).awaitTermination()
     sinks = []
     for name, statement in zip(("orders", "customers"), statements, strict=True):
         rows = parse_flat(read_committed(spark, target, statement.topic), "id BIGINT, status STRING, email STRING, job_variant STRING")
@@ -204,23 +206,129 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return parse_flat(read_topic(spark, target), "id BIGINT, destination STRING").select("row.*")
 
 
-# --- live state ---------------------------------------------------------------------------------------------------
+# --- a log with updates and deletes, in many batches -------------------------------------------------------------------
+
+
+def changing_orders(spark: SparkSession, folder: str, parts: int = 6) -> str:
+    """A written change log of orders and customers whose orders are updated and deleted; returns its folder.
+
+    Orders are read at position 0 and customers likewise. Then events change them in the order of their numbers: an error
+    deletes the order of the event's user, any other event writes it with the event's value. Files hold stretches of the log, the
+    later half of each before its earlier half, so positions come out of order within a batch and from one to the next.
+    """
+    path = work_dir(spark, "changing")
+    events = derived.events(spark, folder).select("event_id", "user_id", "event_type", "value", "ts")
+    last = events.agg(F.max("event_id")).first()[0] or 0
+    row = F.struct(
+        F.col("user_id").alias("id"),
+        F.lit(None).cast("bigint").alias("customer_id"),
+        F.col("value").cast("decimal(10,2)").alias("amount"),
+        F.col("event_type").alias("status"),
+        F.col("ts").alias("created_at"),
+    )
+    gone, pos = F.col("event_type") == "error", (F.col("event_id") + 1).cast("bigint")
+    changes = events.select(
+        F.col("event_id"),
+        F.when(gone, row).alias("before"),
+        F.when(~gone, row).alias("after"),
+        F.when(gone, F.lit("d")).otherwise(F.lit("u")).alias("op"),
+        source_struct(derived.DATABASE, ORDERS.name, F.lit(0).cast("bigint"), pos).alias("source"),
+        F.lit(0).cast("bigint").alias("ts_ms"),
+    )
+    texts = to_envelope(changes).select("event_id", "value")
+    reads = [derived.order_changes(derived.orders(spark, folder)), derived.customer_changes(derived.customers(spark, folder))]
+    for part in reads:
+        start = part.withColumn("source", F.col("source").withField("pos", F.lit(0).cast("bigint")))
+        to_envelope(start).select("value").write.mode("append").parquet(path)
+    width = last // parts + 1
+    for part in range(parts):
+        # Halves change places: every second stretch comes before the one it follows.
+        at = part + 1 if part % 2 == 0 and part + 1 < parts else part - 1 if part % 2 else part
+        own = texts.where(F.col("event_id").between(at * width, at * width + width - 1))
+        own.select("value").write.mode("append").parquet(path)
+    return path
+
+
+#: Orders after all changes: the last event of a user decides, and orders without events are as they were read.
+_CHANGED = """changed AS (
+    SELECT user_id AS id, event_type AS status, CAST(value AS DECIMAL(10,2)) AS amount FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1
+), final_orders AS (
+    SELECT id, status, amount FROM changed WHERE status <> 'error'
+    UNION ALL SELECT id, status, amount FROM f_ord WHERE id NOT IN (SELECT id FROM changed)
+)"""
 
 
 @query(
-    "current_state_live",
+    "statement_set_ops",
     with_inputs(
-        "f_log", select=FOLD.format(cols="id, after_amount AS amount, after_status AS status", where="", live="AND op <> 'd'")
+        "f_ord", "f_cust",
+        select=f"""WITH {_CHANGED} SELECT 'orders' AS sink, id, status AS label, amount FROM final_orders
+            UNION ALL SELECT 'customers', id, email, NULL FROM f_cust""",
     ),
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    target, options = _unit(spark, "state")
-    changes = derived.account_upserts(read_parquet_stream(spark, folder, "events"))
+    """Two keyed sinks fed by one job from a log with updates and deletes, a few files a batch."""
+    target, options = _unit(spark, "statement-ops")
+    log = spark.readStream.schema("value STRING").option("maxFilesPerTrigger", 4).parquet(changing_orders(spark, folder))
+    records, topics = sql_records(log, STREAM_PREFIX), [f"{STREAM_PREFIX}.sql-api.{spec.name}" for spec in (ORDERS, CUSTOMERS)]
+    write_keyed(records, topics, target, options).awaitTermination()
+    sinks = []
+    for name, label, topic in zip(("orders", "customers"), ("status", "email"), topics, strict=True):
+        rows = parse_flat(read_upsert(spark, target, topic), "id BIGINT, status STRING, email STRING, amount DECIMAL(10,2)")
+        amount = F.col("row.amount") if name == "orders" else F.lit(None).cast("decimal(10,2)")
+        sinks.append(rows.select(F.lit(name).alias("sink"), "row.id", F.col(f"row.{label}").alias("label"), amount.alias("amount")))
+    return sinks[0].unionAll(sinks[1])
+
+
+@query("declared_upsert_fold", with_inputs("f_ord", select=f"WITH {_CHANGED} SELECT id, status, amount, 'table-api' AS job_variant FROM final_orders"))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The declared keyed job of orders as a stream over a log with updates and deletes."""
+    root = work_dir(spark, "declared-upsert")
+    job = patterns(derived.DATABASE, STREAM_PREFIX, STREAM_PREFIX)["stream-table"]
+    spec = with_paths(job, changing_orders(spark, folder), f"{root}/out", f"{root}/checkpoints", True)
+    spec["source"]["options"] = {"maxFilesPerTrigger": "4"}
+    run_pipeline(spark, spec).awaitTermination()
+    found = read_upsert(spark, FileTarget(f"{root}/out"), f"{STREAM_PREFIX}.table-api.orders")
+    rows = parse_flat(found, "id BIGINT, status STRING, amount DECIMAL(10,2), job_variant STRING")
+    return rows.select("row.*")
+
+
+# --- live state ---------------------------------------------------------------------------------------------------
+
+
+def _in_parts(spark: SparkSession, folder: str, parts: int = 4) -> DataFrame:
+    """The events as a stream of several batches, each a stretch of the log."""
+    path, events = work_dir(spark, "events-in-parts"), derived.events(spark, folder)
+    width = (events.agg(F.max("event_id")).first()[0] or 0) // parts + 1
+    events.repartitionByRange(parts, "event_id").withColumn("part", F.expr(f"event_id div {width}")).write.partitionBy("part").parquet(path)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+_STATE = with_inputs(
+    "f_log", select=FOLD.format(cols="id, after_amount AS amount, after_status AS status", where="", live="AND op <> 'd'")
+)
+
+
+def _state(spark: SparkSession, events: DataFrame, suffix: str) -> DataFrame:
+    target, options = _unit(spark, suffix)
     columns = ["id", "amount", "status"]
+    changes = derived.account_upserts(events)
     write_state(changes, ["id"], columns, "pos", F.col("op") == "d", "accounts", target, options).awaitTermination()
     return parse_flat(read_state(spark, target, "accounts"), derived.ACCOUNT_ROW).select("row.*")
 
 
+@query("current_state_live", _STATE)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return _state(spark, read_parquet_stream(spark, folder, "events"), "state")
+
+
+@query("current_state_batches", _STATE)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The same state after many batches, read from its last version."""
+    return _state(spark, _in_parts(spark, folder), "state-batches")
+
+
 def _run(records: DataFrame, spark: SparkSession, suffix: str) -> DataFrame:
     target, options = _unit(spark, suffix)
     write_append(records, suffix, target, options).awaitTermination()

@@ -14,9 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from changeflow.operators.changelog import compact
-from changeflow.operators.envelope import to_upsert_record
-from changeflow.streaming.sinks import FileTarget, Statement, StreamOptions, read_committed, run_statement_set
+from changeflow.streaming.sinks import FileTarget, StreamOptions, read_upsert, write_upsert
 
 MINUTE_MS = 60_000
 
@@ -37,24 +35,16 @@ def write_state(
     target: FileTarget,
     options: StreamOptions,
 ) -> StreamingQuery:
-    """Fold a stream of changes; each batch writes the keys it changed, one record each.
+    """Fold a stream of changes into the state of its keys, which is kept in versions and not in the query.
 
     Deleted keys stay in the state as tombstones, so an older update that arrives late cannot bring a row back.
     """
-    carried = list(dict.fromkeys([*key_cols, *value_cols, pos, "_deleted"]))
-    latest = compact(changes.withColumn("_deleted", deleted).select(*carried), key_cols, pos)
-
-    def records(batch: DataFrame) -> DataFrame:
-        keyed = to_upsert_record(batch, key_cols, value_cols, F.col("_deleted"))
-        return keyed.select("key", "value", F.col(pos).alias("offset"))
-
-    return run_statement_set(latest, [Statement(topic, records)], target, options, output_mode="update")
+    return write_upsert(changes, key_cols, value_cols, pos, deleted, topic, target, options)
 
 
 def read_state(spark: SparkSession, target: FileTarget, topic: str) -> DataFrame:
     """The live rows ``key, value`` that ``write_state`` has committed."""
-    latest = compact(read_committed(spark, target, topic).select("key", "offset", "value"), ["key"], "offset")
-    return latest.where(F.col("value").isNotNull()).drop("offset")
+    return read_upsert(spark, target, topic).select("key", "value")
 
 
 # --- lifecycle ----------------------------------------------------------------------------------------------------

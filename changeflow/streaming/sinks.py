@@ -15,11 +15,13 @@ from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from changeflow.operators.changelog import compact
 from changeflow.operators.envelope import to_upsert_record
+from changeflow.streaming.versioned import VersionedState
 
 # Fixed value: seconds between two commits of a job.
 COMMIT_INTERVAL = "30 seconds"
@@ -63,14 +65,20 @@ class FileTarget:
 
     Each job writes below a folder of its own, ``<path>/records/job=<job>/topic=<topic>``, since the commit log of a file
     sink belongs to one query; a second query in the same folder would take batches of the first for its own.
-    ``<path>/jobs`` names the jobs, so that readers unite what each has committed.
+    ``<path>/jobs`` names the jobs, so that readers unite what each has committed. ``buckets`` is the number of parts an upsert topic
+    is folded in.
     """
 
     path: str
+    buckets: int = 16
 
     def records_of(self, job: str) -> str:
         return f"{self.path}/records/job={quote(job, safe='')}"
 
+    def state_of(self, job: str, topic: str) -> VersionedState:
+        """The versioned state that a job keeps of an upsert topic."""
+        return VersionedState(f"{self.path}/states/job={quote(job, safe='')}/topic={quote(topic, safe='')}", self.buckets)
+
     def enter(self, spark: SparkSession, job: str) -> str:
         """Name a job in the target; returns the folder of its records. Entering again changes nothing."""
         one = spark.range(1).select(F.lit(job).alias("name"))
@@ -113,17 +121,47 @@ def write_upsert(
     target: Target,
     options: StreamOptions,
 ) -> StreamingQuery:
-    """One record per change to an upsert topic: key, and value or null for a delete."""
+    """Changes to one upsert topic: the last value of each key, or null for a delete."""
     records = to_upsert_record(df.withColumn("_deleted", deleted), key_cols, value_cols, F.col("_deleted"))
-    return _start(
-        records.select(F.lit(topic).alias("topic"), F.col(pos).alias("offset"), "key", "value"), target, options
-    )
+    records = records.select(F.lit(topic).alias("topic"), F.col(pos).alias("offset"), "key", "value")
+    return write_keyed(records, [topic], target, options)
+
+
+def write_keyed(records: DataFrame, topics: list[str], target: Target, options: StreamOptions) -> StreamingQuery:
+    """Keyed records ``topic, offset, key, value`` to upsert topics, each batch folded to one record a key and topic.
+
+    Files keep a versioned state for each topic, so reading one does not cost its history. A broker gets the records of a key
+    in the order of the batches, and no two from one batch, whichever task sends them.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if isinstance(target, KafkaTarget):
+            last = compact(batch.select("topic", "offset", "key", "value"), ["topic", "key"], "offset")
+            kafka = last.select("topic", "key", "value").write.format("kafka")
+            kafka.option("kafka.bootstrap.servers", target.servers).save()
+            return
+        if len(topics) > 1:
+            batch = batch.select(*[F.col(c).alias(c) for c in batch.columns]).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for topic in topics:
+                target.state_of(options.query_name, topic).apply(batch.where(F.col("topic") == topic), batch_id)
+        finally:
+            if len(topics) > 1:
+                batch.unpersist()
+
+    if isinstance(target, FileTarget):
+        target.enter(records.sparkSession, options.query_name)
+    return options.apply(records.writeStream.outputMode("append").foreachBatch(write)).start()
+
+
+def _jobs(spark: SparkSession, target: FileTarget) -> list[str]:
+    """The jobs that have entered a target: one short row each."""
+    return sorted(r.name for r in spark.read.option("recursiveFileLookup", "true").parquet(f"{target.path}/jobs").collect())
 
 
 def read_topic(spark: SparkSession, target: FileTarget, topic: str | None = None) -> DataFrame:
     """The records of one topic (only its directories are read), or of all, as far as the jobs have committed them."""
-    jobs = [r.name for r in spark.read.option("recursiveFileLookup", "true").parquet(f"{target.path}/jobs").collect()]
-    written = [frame for frame in (_committed_by(spark, target, job) for job in sorted(jobs)) if frame is not None]
+    written = [frame for frame in (_committed_by(spark, target, job) for job in _jobs(spark, target)) if frame is not None]
     if not written:
         raise ValueError(f"no job has committed records to {target.path}")
     records = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), written)
@@ -132,8 +170,11 @@ def read_topic(spark: SparkSession, target: FileTarget, topic: str | None = None
 
 def _committed_by(spark: SparkSession, target: FileTarget, job: str) -> DataFrame | None:
     """The records of a job; None where it has not committed any."""
+    path = target.records_of(job)
     try:
-        return spark.read.parquet(target.records_of(job))
+        # Topics are texts, also those that look like numbers or dates; a file knows its own columns.
+        columns = [f for f in spark.read.parquet(path).schema.fields if f.name != "topic"]
+        return spark.read.schema(T.StructType([*columns, T.StructField("topic", T.StringType())])).parquet(path)
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -141,9 +182,23 @@ def _committed_by(spark: SparkSession, target: FileTarget, job: str) -> DataFram
 
 
 def read_upsert(spark: SparkSession, target: FileTarget, topic: str) -> DataFrame:
-    """The live rows of an upsert topic: the last value of each key that has one."""
-    records = read_topic(spark, target, topic).select("key", "offset", "value")
-    return compact(records, ["key"], "offset").where(F.col("value").isNotNull())
+    """The live rows of an upsert topic: the last value of each key that has one.
+
+    One job's versioned state is read as it is; records of append jobs and states of several jobs are folded by position.
+    """
+    states, logs = [], []
+    for job in _jobs(spark, target):
+        state = target.state_of(job, topic)
+        version, records = state.current(spark), _committed_by(spark, target, job)
+        if version is not None:
+            states.append(state.records(spark, version))
+        if records is not None:
+            logs.append(records.where(F.col("topic") == topic).select("key", "offset", "value"))
+    if not states + logs:
+        raise ValueError(f"no job has committed records to {target.path}")
+    rows = reduce(DataFrame.unionByName, states + logs)
+    folded = rows if len(states) == 1 and not logs else compact(rows, ["key"], "offset")
+    return folded.where(F.col("value").isNotNull())
 
 
 def write_routed(df: DataFrame, target: Target, options: StreamOptions, files_per_topic: int | None = None) -> StreamingQuery:
