@@ -25,7 +25,7 @@ Spec = dict[str, Any]
 TABLES = {spec.name: spec for spec in (ORDERS, CUSTOMERS, OUTBOX_EVENTS)}
 
 _KEYS = {
-    "source": {"type", "name", "path", "format", "tables", "streaming", "options"},
+    "source": {"type", "name", "path", "format", "layout", "tables", "streaming", "options"},
     "transform": {"type", "prefix", "variant", "field", "tag"},
     "sink": {"type", "name", "path", "servers", "topic", "files-per-topic"},
     "pipeline": {"name", "parallelism", "schema.change.behavior", "checkpoint", "prefix", "interval"},
@@ -45,6 +45,8 @@ def check_spec(spec: Spec) -> None:
         raise ValueError(f"transform type must be one of {_TRANSFORMS}, not {kind!r}")
     if spec["source"]["type"] != "changelog":
         raise ValueError("source type must be 'changelog'")
+    if spec["source"].get("layout", "by-table") != "by-table":
+        raise ValueError("source layout must be 'by-table' where it is given")
     if spec["sink"]["type"] not in ("files", "kafka"):
         raise ValueError("sink type must be 'files' or 'kafka'")
     if spec["pipeline"].get("schema.change.behavior", "evolve") != "evolve":
@@ -68,6 +70,7 @@ def plan_pipeline(spark: SparkSession, spec: Spec) -> DataFrame:
         source.get("streaming", False),
         source.get("format", "parquet"),
         options=source.get("options"),
+        by_table=source.get("layout") == "by-table",
     )
     records = _transform(changes, spec)
     parallelism = spec["pipeline"].get("parallelism")
@@ -104,7 +107,8 @@ def upsert_records(changes: DataFrame, tables: list[TableSpec], tag: str, prefix
 
     A delete has a null value. ``offset`` is the position of the change, by which ``read_upsert`` folds a topic.
     """
-    named = changes.withColumn("_table", F.get_json_object("value", "$.source.table"))
+    table = F.col("table") if "table" in changes.columns else F.get_json_object("value", "$.source.table")
+    named = changes.withColumn("_table", table)
     keys, values, topics, offsets = [], [], [], []
     for spec in tables:
         mine = F.col("_table") == spec.name
@@ -191,12 +195,14 @@ def patterns(database: str, stream: str, link: str) -> dict[str, Spec]:
     return {spec["pipeline"]["name"]: spec for spec in jobs}
 
 
-def with_paths(spec: Spec, source: str, sink: str, checkpoint: str | None = None, streaming: bool = False) -> Spec:
-    """A pattern with its places filled in."""
+def with_paths(
+    spec: Spec, source: str, sink: str, checkpoint: str | None = None, streaming: bool = False, by_table: bool = False
+) -> Spec:
+    """A pattern with its places filled in; ``by_table`` where the source log is written by table."""
     settings = {**spec["pipeline"], **({"checkpoint": checkpoint} if checkpoint else {})}
     return {
         **spec,
-        "source": {**spec["source"], "path": source, "streaming": streaming},
+        "source": {**spec["source"], "path": source, "streaming": streaming, **({"layout": "by-table"} if by_table else {})},
         "sink": {**spec["sink"], "path": sink},
         "pipeline": settings,
     }

@@ -30,6 +30,7 @@ from changeflow.sources.changelog import (
     read_changelog,
     read_outbox,
     snapshot_then_log,
+    write_changelog,
 )
 from changeflow.sources.tables import CUSTOMERS, ORDERS, OUTBOX_EVENTS, read_table
 from changeflow.sources.topics import count_matching, first_match, poll
@@ -41,7 +42,7 @@ MIDDLE = f"TIMESTAMP '{derived.SCHEMA_CHANGE}'"
 
 
 def written_log(spark: SparkSession, folder: str) -> str:
-    """The change log of the database as files of topic records in the shared working folder."""
+    """The change log of the database as topic records by table, in the shared working folder."""
     path = work_dir(spark, "changelog")
     log = derived.database_log(spark, folder)
     records = log.select(
@@ -52,14 +53,14 @@ def written_log(spark: SparkSession, folder: str) -> str:
             for f in TOPIC_RECORD.fields
         ]
     )
-    records.write.parquet(path)
+    write_changelog(records, path)
     return path
 
 
 @query("src_changelog_multi", with_inputs("f_ord", "f_cust", "f_out", select=DATABASE_ROWS))
 def _(spark: SparkSession, folder: str) -> DataFrame:
     tables = ["shop.orders", "shop.customers", "shop.outbox_events"]
-    log = read_changelog(spark, written_log(spark, folder), tables)
+    log = read_changelog(spark, written_log(spark, folder), tables, by_table=True)
     return parse_envelope(log, "id BIGINT").select(
         F.col("source")["table"].alias("table_name"), "op", F.col("after")["id"].alias("id")
     )
@@ -73,18 +74,18 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    log = read_outbox(spark, written_log(spark, folder), "shop")
+    log = read_outbox(spark, written_log(spark, folder), "shop", by_table=True)
     return read_table(log, OUTBOX_EVENTS).drop("op", "pos")
 
 
 @query("src_orders_typed", with_inputs("f_ord", select="SELECT *, 'r' AS op FROM f_ord"))
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(read_changelog(spark, written_log(spark, folder)), ORDERS, db="shop").drop("pos")
+    return read_table(read_changelog(spark, written_log(spark, folder), by_table=True), ORDERS, db="shop").drop("pos")
 
 
 @query("src_customers_typed", with_inputs("f_cust", select="SELECT *, 'r' AS op FROM f_cust"))
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(read_changelog(spark, written_log(spark, folder)), CUSTOMERS, db="shop").drop("pos")
+    return read_table(read_changelog(spark, written_log(spark, folder), by_table=True), CUSTOMERS, db="shop").drop("pos")
 
 
 def _account_log(spark: SparkSession, folder: str) -> DataFrame:

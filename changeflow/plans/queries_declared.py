@@ -59,7 +59,7 @@ _SQL = {
 def _register(job: str) -> None:
     @query(f"declared_{job.replace('-', '_')}", with_inputs(*_INPUTS, select=_SQL[job]))
     def _(spark: SparkSession, folder: str) -> DataFrame:
-        spec = with_paths(JOBS[job], written_log(spark, folder), work_dir(spark, job))
+        spec = with_paths(JOBS[job], written_log(spark, folder), work_dir(spark, job), by_table=True)
         return _read(plan_pipeline(spark, spec))
 
 
@@ -71,7 +71,7 @@ for _job in JOBS:
 def _(spark: SparkSession, folder: str) -> DataFrame:
     """The declared envelope job as a stream, from its source files to its sink files."""
     root = work_dir(spark, "declared")
-    spec = with_paths(JOBS["stream-envelope"], written_log(spark, folder), f"{root}/out", f"{root}/checkpoints", True)
+    spec = with_paths(JOBS["stream-envelope"], written_log(spark, folder), f"{root}/out", f"{root}/checkpoints", True, True)
     run_pipeline(spark, spec).awaitTermination()
     return _read(read_topic(spark, FileTarget(f"{root}/out")))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ from changeflow.plans.registry import query
 from changeflow.session import work_dir
 from changeflow.sources import derived
 from changeflow.sources.tables import CUSTOMERS, ORDERS, read_parquet_stream
-from changeflow.streaming.live import counter_growth_live, lifecycle_live, read_state, silence_live, write_state
+from changeflow.streaming.live import counter_growth_live, lifecycle_live, lifecycle_ordered, read_state, silence_live, write_state
 from changeflow.streaming.sinks import (
     FileTarget,
     Statement,
@@ -335,19 +337,48 @@ def _run(records: DataFrame, spark: SparkSession, suffix: str) -> DataFrame:
     return read_topic(spark, target, suffix)
 
 
-@query(
-    "lifecycle_live",
-    """SELECT id, pos, prev_op, op FROM (
+_LIFECYCLE = """SELECT id, pos, prev_op, op FROM (
             SELECT user_id AS id, event_id AS pos, op, lag(op) OVER (PARTITION BY user_id ORDER BY event_id) AS prev_op
             FROM (SELECT *, CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS op FROM events) e
-        ) x WHERE CASE WHEN prev_op IN ('c', 'u') THEN op = 'c' ELSE op <> 'c' END""",
-)
+        ) x WHERE CASE WHEN prev_op IN ('c', 'u') THEN op = 'c' ELSE op <> 'c' END"""
+
+
+@query("lifecycle_live", _LIFECYCLE)
 def _(spark: SparkSession, folder: str) -> DataFrame:
     found = lifecycle_live(derived.claimed_ops(read_parquet_stream(spark, folder, "events", 1)), "id")
     texts = found.select(F.to_json(F.struct("id", "pos", "prev_op", "op")).alias("value"))
     return parse_flat(_run(texts, spark, "lifecycle"), "id BIGINT, pos BIGINT, prev_op STRING, op STRING").select("row.*")
 
 
+def _late_parts(spark: SparkSession, rows: DataFrame, pos: str, ts: str, parts: int = 4) -> tuple[DataFrame, str]:
+    """Rows as a stream of several batches in which every second stretch comes before the one it follows, and the delay that takes.
+
+    The last file holds a heartbeat: a row of nulls but for a time so late that the watermark passes all rows.
+    """
+    path = work_dir(spark, "late")
+    times = rows.agg(F.max(pos).alias("last"), F.min(ts).alias("low"), F.max(ts).alias("high")).first()
+    low, high = times["low"] or datetime(2024, 1, 1), times["high"] or datetime(2024, 1, 1)
+    width = (times["last"] or 0) // parts + 1
+    for part in range(parts):
+        at = part + 1 if part % 2 == 0 and part + 1 < parts else part - 1 if part % 2 else part
+        rows.where(F.col(pos).between(at * width, at * width + width - 1)).write.mode("append").parquet(path)
+    delay = high - low + timedelta(minutes=1)
+    beat = spark.range(1).select(*[F.lit(high + 3 * delay if f.name == ts else None).cast(f.dataType).alias(f.name) for f in rows.schema.fields])
+    beat.write.mode("append").parquet(path)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return stream, f"{int(delay.total_seconds())} seconds"
+
+
+@query("lifecycle_late", _LIFECYCLE)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Changes that arrive out of order by up to a stretch of the log, judged in order, to the last one."""
+    events = derived.events(spark, folder)
+    late, delay = _late_parts(spark, derived.claimed_ops(events).join(events.select(F.col("event_id").alias("pos"), "ts"), "pos"), "pos", "ts")
+    found = lifecycle_ordered(late, "id", "ts", delay)
+    texts = found.select(F.to_json(F.struct("id", "pos", "prev_op", "op")).alias("value"))
+    return parse_flat(_run(texts, spark, "lifecycle-late"), "id BIGINT, pos BIGINT, prev_op STRING, op STRING").select("row.*")
+
+
 # The last watermark: a minute that ends after it is still open when the stream ends.
 _CLOSED = "time_bucket(INTERVAL 1 MINUTE, ts) + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE"
 
@@ -370,19 +401,19 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query(
-    "counter_growth_live",
-    f"""SELECT job_name, minute, CAST(sum(v - COALESCE(p, v)) AS BIGINT) AS growth FROM (
-            SELECT event_type AS job_name, time_bucket(INTERVAL 1 MINUTE, ts) AS minute, event_id AS v,
-                lag(event_id) OVER (PARTITION BY event_type ORDER BY ts) AS p FROM events WHERE {_CLOSED}) a
-        GROUP BY 1, 2""",
-)
+_GROWTH = """SELECT job_name, minute, CAST(sum(v - COALESCE(p, v)) AS BIGINT) AS growth FROM (
+        SELECT event_type AS job_name, time_bucket(INTERVAL 1 MINUTE, ts) AS minute, 9007199254740993 + event_id AS v,
+            lag(9007199254740993 + event_id) OVER (PARTITION BY event_type ORDER BY ts) AS p FROM events) a
+    GROUP BY 1, 2"""
+
+
+@query("counter_growth_live", _GROWTH)
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    # The event number as a counter that every job reports.
-    samples = read_parquet_stream(spark, folder, "events").select(
-        F.col("event_type").alias("job_name"), "ts", F.col("event_id").alias("counter")
-    )
-    found = counter_growth_live(samples, "counter")
+    """A counter that every job reports, beyond what a float holds, out of order and to the last minute."""
+    counter = (F.lit(9007199254740993) + F.col("event_id")).alias("counter")
+    samples = derived.events(spark, folder).select(F.col("event_type").alias("job_name"), "event_id", "ts", counter)
+    late, delay = _late_parts(spark, samples, "event_id", "ts")
+    found = counter_growth_live(late, "counter", delay=delay)
     texts = found.select(F.to_json(F.struct("job_name", "minute", "growth")).alias("value"))
     rows = parse_flat(_run(texts, spark, "growth"), "job_name STRING, minute TIMESTAMP, growth BIGINT")
     return rows.select("row.job_name", F.col("row.minute").cast("timestamp_ntz").alias("minute"), "row.growth")

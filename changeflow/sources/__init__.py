@@ -7,6 +7,8 @@ from changeflow.sources.changelog import (
     read_outbox,
     snapshot_jdbc,
     snapshot_then_log,
+    stream_changelog,
+    write_changelog,
 )
 from changeflow.sources.tables import TableSpec, read_parquet_stream, read_parquet_table, read_table
 from changeflow.sources.topics import count_matching, first_match, poll
@@ -25,4 +27,6 @@ __all__ = [
     "read_table",
     "snapshot_jdbc",
     "snapshot_then_log",
+    "stream_changelog",
+    "write_changelog",
 ]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 TOPIC_RECORD = T.StructType(
     [
@@ -17,6 +18,9 @@ TOPIC_RECORD = T.StructType(
     ]
 )
 
+# The directories of a log that is written by table.
+BY_TABLE = [T.StructField("db", T.StringType()), T.StructField("table", T.StringType())]
+
 # Fixed value: the table of outbox events.
 OUTBOX_TABLE = "outbox_events"
 
@@ -29,9 +33,12 @@ def read_changelog(
     fmt: str = "parquet",
     schema: T.StructType | None = None,
     options: dict[str, str] | None = None,
+    by_table: bool = False,
 ) -> DataFrame:
     """The change log of several tables, ``db.table`` names in ``tables``.
 
+    A log that ``write_changelog`` has written is read ``by_table``: only the directories of ``tables`` are read, nothing is parsed
+    to find them, and ``db`` and ``table`` are columns. Otherwise every text is parsed to see what table it is of.
     ``fmt`` is ``parquet`` or ``json`` files of topic records, ``text`` files of one envelope per line, or ``kafka``,
     where ``path_or_topic`` is a comma-separated list of topics and the connector package is on the classpath.
     """
@@ -49,8 +56,35 @@ def read_changelog(
     elif fmt == "text":
         df = reader.load(path_or_topic).select("value")
     else:
-        df = reader.schema(schema or TOPIC_RECORD).load(path_or_topic)
-    return filter_tables(df, tables) if tables is not None else df
+        columns = (schema or TOPIC_RECORD).fields + (BY_TABLE if by_table else [])
+        df = reader.schema(T.StructType(columns)).load(path_or_topic)
+    if tables is None:
+        return df
+    return filter_tables(df, tables, db="db", table="table") if by_table else filter_tables(df, tables)
+
+
+def _by_table(records: DataFrame, value: str) -> DataFrame:
+    """Records with the database and the table of their texts, which are parsed once, here."""
+    source = F.from_json(value, "source STRUCT<db: STRING, table: STRING>")["source"]
+    # A generator keeps the parsed struct in one place; as an expression it would be copied to each use.
+    parsed = records.select("*", F.explode(F.array(source)).alias("_source"))
+    return parsed.select("*", F.col("_source")["db"].alias("db"), F.col("_source")["table"].alias("table")).drop("_source")
+
+
+def write_changelog(records: DataFrame, path: str, value: str = "value") -> None:
+    """Write topic records as a log by database and table, so that readers of one table read no others.
+
+    Texts that name no table are kept apart and read only with all tables. A table with most of the changes is written by all
+    tasks.
+    """
+    _by_table(records, value).write.mode("append").partitionBy("db", "table").parquet(path)
+
+
+def stream_changelog(records: DataFrame, path: str, checkpoint: str, interval: str | None = None, value: str = "value") -> StreamingQuery:
+    """``write_changelog`` for a stream; ``interval`` None works off what is there and ends."""
+    writer = _by_table(records, value).writeStream.format("parquet").partitionBy("db", "table")
+    writer = writer.option("checkpointLocation", checkpoint).outputMode("append")
+    return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start(path)
 
 
 def filter_tables(
@@ -81,9 +115,11 @@ def read_outbox(
     streaming: bool = False,
     fmt: str = "parquet",
     options: dict[str, str] | None = None,
+    by_table: bool = False,
 ) -> DataFrame:
     """The change log of the outbox table of ``database``, and of no other table."""
-    return read_changelog(spark, path_or_topic, [f"{database}.{OUTBOX_TABLE}"], streaming, fmt, options=options)
+    tables = [f"{database}.{OUTBOX_TABLE}"]
+    return read_changelog(spark, path_or_topic, tables, streaming, fmt, options=options, by_table=by_table)
 
 
 def snapshot_then_log(snapshot: DataFrame, log: DataFrame, high_pos: Column | int, pos: str = "pos") -> DataFrame:

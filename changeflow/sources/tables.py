@@ -39,10 +39,15 @@ def read_table(changes: DataFrame, spec: TableSpec, value: str = "value", db: st
 
     Creates, reads and updates give the row after the change, deletes the row before it.
     """
-    # The filter looks at the text by path: on the parsed columns it would parse whole envelopes a second time.
-    wanted = F.get_json_object(value, "$.source.table") == spec.name
+    if {"db", "table"} <= set(changes.columns):
+        # A log by table: its directories are the filter, and a text is parsed once.
+        named, database = F.col("table"), F.col("db")
+    else:
+        # By path: on the parsed columns the filter would parse whole envelopes a second time.
+        named, database = (F.get_json_object(value, f"$.source.{part}") for part in ("table", "db"))
+    wanted = named == spec.name
     if db:
-        wanted = wanted & (F.get_json_object(value, "$.source.db") == db)
+        wanted = wanted & (database == db)
     image = F.coalesce("after", "before")
     return parse_envelope(changes.where(wanted), spec.schema, value).select(
         *[image[name].alias(name) for name in spec.schema.names], "op", F.col("source")["pos"].alias("pos")
@@ -56,9 +61,10 @@ def read_parquet_table(spark: SparkSession, folder: str, name: str) -> DataFrame
 def read_parquet_stream(spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None) -> DataFrame:
     """Stream ``<folder>/<name>.parquet``, a single file or a directory of part files."""
     path = f"{folder}/{name}.parquet"
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    is_file = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hadoop_path).isFile()
-    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    whole = spark.read.parquet(path)
+    # A file that is read by its own path is the only one of its frame and has that name.
+    is_file = [f.rpartition("/")[2] for f in whole.limit(1).inputFiles()] == [f"{name}.parquet"]
+    reader = spark.readStream.schema(whole.schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     # A file stream watches directories; a single file is picked out of its folder by name.

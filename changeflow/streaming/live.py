@@ -7,10 +7,11 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from datetime import UTC, datetime
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -50,29 +51,88 @@ def read_state(spark: SparkSession, target: FileTarget, topic: str) -> DataFrame
 # --- lifecycle ----------------------------------------------------------------------------------------------------
 
 # What may follow an op: a create or a snapshot read opens a row, a delete closes it.
+_LIVE = ("c", "r", "u")
 _AFTER_LIVE = ("u", "d")
 _AFTER_NONE = ("c", "r")
+_FOUND = "id BIGINT, pos BIGINT, prev_op STRING, op STRING, late BOOLEAN"
+
+
+class _Judge:
+    """Tells which changes of a key do not fit the one before them, given the last change of the key so far."""
+
+    def __init__(self, last: tuple[int | None, str | None]) -> None:
+        self.pos, self.op = last
+
+    def __call__(self, key: int, changes: list[tuple[int, str]]) -> Iterator[Row]:
+        for pos, op in changes:
+            if self.pos is not None and pos <= self.pos:
+                # The order moves on from the last change, not from one that came too late.
+                yield Row(id=key, pos=pos, prev_op=self.op, op=op, late=True)
+                continue
+            if op not in (_AFTER_LIVE if self.op in _LIVE else _AFTER_NONE):
+                yield Row(id=key, pos=pos, prev_op=self.op, op=op, late=False)
+            self.pos, self.op = pos, op
 
 
 class _Lifecycle(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "pos LONG, op STRING")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         # The changes of one key in one batch; the source limits what a batch admits.
-        batch = pd.concat([part[["pos", "op"]] for part in rows]).sort_values("pos", ignore_index=True)
-        before = self.last.get() if self.last.exists() else (None, None)
-        previous = batch["op"].shift(1)
-        previous.iloc[0] = before[1]
-        live = previous.isin(["c", "r", "u"])
-        legal = (live & batch["op"].isin(_AFTER_LIVE)) | (~live & batch["op"].isin(_AFTER_NONE))
-        late = pd.Series(False, index=batch.index) if before[0] is None else batch["pos"] <= before[0]
-        found = batch.assign(prev_op=previous, late=late)[~legal | late]
-        newest = batch.iloc[-1]
-        if before[0] is None or newest["pos"] > before[0]:
-            self.last.update((int(newest["pos"]), newest["op"]))
-        if len(found):
-            yield found.assign(id=key[0])[["id", "pos", "prev_op", "op", "late"]]
+        judge = _Judge(self.last.get() if self.last.exists() else (None, None))
+        yield from judge(key[0], sorted((row["pos"], row["op"]) for row in rows))
+        self.last.update((judge.pos, judge.op))
+
+    def close(self) -> None:
+        pass
+
+
+class _OrderedLifecycle(StatefulProcessor):
+    """Holds the changes of a key until the watermark has passed them, then judges them in their order."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "pos LONG, op STRING")
+        self.timer = handle.getValueState("timer", "ms LONG")
+        self.waiting = handle.getMapState("waiting", "pos LONG", "ms LONG, op STRING")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        first = None
+        for row in rows:
+            if row["op"] is not None:
+                self.waiting.updateValue((row["pos"],), (row["ms"], row["op"]))
+                first = row["ms"] if first is None else min(first, row["ms"])
+        if first is not None:
+            self._wait_for(first)
+        yield from ()
+
+    def _wait_for(self, ms: int) -> None:
+        """One timer a key, for the earliest change that waits."""
+        if self.timer.exists():
+            if self.timer.get()[0] <= ms:
+                return
+            self.handle.deleteTimer(self.timer.get()[0])
+        self.handle.registerTimer(ms)
+        self.timer.update((ms,))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        until = timerValues.getCurrentWatermarkInMs()
+        due, later = [], None
+        for (pos,), (ms, op) in list(self.waiting.iterator()):
+            if ms <= until:
+                due.append((pos, op))
+            else:
+                later = ms if later is None else min(later, ms)
+        judge = _Judge(self.last.get() if self.last.exists() else (None, None))
+        yield from judge(key[0], sorted(due))
+        if due:
+            self.last.update((judge.pos, judge.op))
+        for pos, _ in due:
+            self.waiting.removeKey((pos,))
+        self.timer.clear()
+        if later is not None:
+            self._wait_for(later)
 
     def close(self) -> None:
         pass
@@ -81,17 +141,31 @@ class _Lifecycle(StatefulProcessor):
 def lifecycle_live(changes: DataFrame, key: str, pos: str = "pos", op: str = "op") -> DataFrame:
     """Changes of a stream that do not fit the one before them in their key: ``id, pos, prev_op, op, late``.
 
-    ``late`` marks a change that came after a later one of its key. Read the source with a limit per batch
-    (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``): a task holds the changes of one key in one batch.
+    Changes are judged as they come; ``late`` marks a change that came in a batch after a later one of its key. Read the source
+    with a limit per batch (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``): a task holds the changes of one key in one batch.
     """
     if not changes.isStreaming:
         raise ValueError("lifecycle_live takes a stream; lifecycle_violations takes a batch")
     rows = changes.select(F.col(key).cast("bigint").alias("id"), F.col(pos).alias("pos"), F.col(op).alias("op"))
-    return rows.groupBy("id").transformWithStateInPandas(
-        statefulProcessor=_Lifecycle(),
-        outputStructType="id BIGINT, pos BIGINT, prev_op STRING, op STRING, late BOOLEAN",
-        outputMode="Append",
-        timeMode="None",
+    return rows.groupBy("id").transformWithState(
+        statefulProcessor=_Lifecycle(), outputStructType=_FOUND, outputMode="Append", timeMode="None"
+    )
+
+
+def lifecycle_ordered(changes: DataFrame, key: str, ts: str, delay: str, pos: str = "pos", op: str = "op") -> DataFrame:
+    """Changes that do not fit the one before them in their key, in the order of the log: ``id, pos, prev_op, op, late``.
+
+    Changes may come out of order by up to ``delay`` of event time: those of a key wait, in state that spills to disk, until the
+    watermark has passed them, and are judged by position. Later ones are dropped by the watermark. A row without an op is a
+    heartbeat that only moves the watermark, so the end of a stream is judged too. ``ts`` does not fall as ``pos`` rises in a key.
+    """
+    if not changes.isStreaming:
+        raise ValueError("lifecycle_ordered takes a stream; lifecycle_violations takes a batch")
+    rows = changes.select(
+        F.col(key).cast("bigint").alias("id"), F.col(pos).alias("pos"), F.col(op).alias("op"), F.col(ts).cast("timestamp").alias("_ts")
+    ).withWatermark("_ts", delay)
+    return rows.withColumn("ms", _millis(F.col("_ts"))).groupBy("id").transformWithState(
+        statefulProcessor=_OrderedLifecycle(), outputStructType=_FOUND, outputMode="Append", timeMode="EventTime"
     )
 
 
@@ -167,58 +241,105 @@ def silence_live(events: DataFrame, job: str, ts: str, delay: str = "1 minute",
     )
 
 
-class _Growth(StatefulProcessor):
+class _Segment(StatefulProcessor):
+    """The samples of one job and bin, as one segment once the watermark has passed the bin."""
+
+    def __init__(self, bin_ms: int) -> None:
+        self.bin_ms = bin_ms
+
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "value LONG")
+        self.handle = handle
+        self.samples = handle.getMapState("samples", "us LONG", "value LONG")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        for row in rows:
+            if row["value"] is not None:
+                self.samples.updateValue((row["us"],), (row["value"],))
+        self.handle.registerTimer(key[1] + self.bin_ms)
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        values = [value for _, (value,) in sorted(self.samples.iterator())]
+        self.samples.clear()
+        if values:
+            grown = sum(_step(a, b) for a, b in zip(values, values[1:]))
+            at = datetime.fromtimestamp((key[1] + self.bin_ms) / 1000, UTC)
+            yield Row(job_name=key[0], bin=key[1], at=at, first=values[0], last=values[-1], growth=grown)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        minutes = pd.concat(list(rows)).sort_values("minute", ignore_index=True)
-        before = minutes["last"].shift(1)
-        if self.last.exists():
-            before.iloc[0] = self.last.get()[0]
-        first = minutes["first"]
-        across = (first - before).where(first >= before, first).where(before.notna(), 0)
-        self.last.update((int(minutes["last"].iloc[-1]),))
-        yield pd.DataFrame(
-            {"job_name": key[0], "minute_ms": minutes["minute"], "growth": (minutes["inside"] + across).astype("int64")}
-        )
+    def close(self) -> None:
+        pass
+
+
+def _step(before: int, value: int) -> int:
+    """Growth from one value of a counter to the next; a smaller one is a reset and counts whole."""
+    return value if value < before else value - before
+
+
+class _Minutes(StatefulProcessor):
+    """Joins the segments of a job in their order: the growth between two segments belongs to the minute of the later one."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "value LONG")
+        self.minute = handle.getValueState("minute", "minute LONG, growth LONG")
+        self.waiting = handle.getMapState("waiting", "bin LONG", "first LONG, last LONG, growth LONG")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        for row in rows:
+            self.waiting.updateValue((row["bin"],), (row["first"], row["last"], row["growth"]))
+            minute = row["bin"] // MINUTE_MS * MINUTE_MS
+            self.handle.registerTimer(minute + MINUTE_MS)
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        end = expiredTimerInfo.getExpiryTimeInMs()
+        due = sorted((bin_, part) for (bin_,), part in list(self.waiting.iterator()) if bin_ < end)
+        if not due:
+            return
+        before, growth = self.last.get()[0] if self.last.exists() else None, 0
+        for bin_, (first, last, inside) in due:
+            growth += inside + (0 if before is None else _step(before, first))
+            before = last
+            self.waiting.removeKey((bin_,))
+        self.last.update((before,))
+        yield Row(job_name=key[0], minute_ms=end - MINUTE_MS, growth=growth)
 
     def close(self) -> None:
         pass
 
 
-def counter_growth_live(samples: DataFrame, metric: str, ts: str = "ts", delay: str = "1 minute") -> DataFrame:
-    """Growth of a counter per job and minute on a stream: ``job_name, minute, growth``.
+def counter_segments(samples: DataFrame, metric: str, ts: str = "ts", delay: str = "1 minute", bin_seconds: int = 10) -> DataFrame:
+    """Segments of a counter on a stream, one for each job and bin: ``job_name, bin, at, first, last, growth``.
 
-    A minute is closed when the watermark has passed it; later samples of it are dropped. What is gathered per job and
-    minute is the samples a job reports in a minute.
+    A segment is what two neighbours need to be joined: first and last value, and the growth inside. Bins of a job are worked on
+    apart, so a job with a third of all samples is spread over as many keys as it has bins. A sample without a value is a
+    heartbeat that only moves the watermark.
     """
-    series = F.array_sort(F.collect_list(F.struct(F.col("_ts").alias("t"), F.col("_v").alias("v"))))
-    inside = F.aggregate(
-        "_s",
-        F.struct(F.lit(None).cast("bigint").alias("p"), F.lit(0).cast("bigint").alias("g")),
-        lambda acc, x: F.struct(
-            x["v"].alias("p"),
-            (acc["g"] + F.when(acc["p"].isNull(), 0).when(x["v"] < acc["p"], x["v"]).otherwise(x["v"] - acc["p"])).alias("g"),
-        ),
-    )["g"]
-    minutes = (
-        samples.select("job_name", F.col(ts).cast("timestamp").alias("_ts"), F.col(metric).cast("bigint").alias("_v"))
-        .withWatermark("_ts", delay)
-        .groupBy("job_name", F.window("_ts", "1 minute").alias("_w"))
-        .agg(series.alias("_s"))
-        .select(
-            "job_name",
-            _millis(F.col("_w")["start"]).alias("minute"),
-            inside.alias("inside"),
-            F.element_at("_s", 1)["v"].alias("first"),
-            F.element_at("_s", -1)["v"].alias("last"),
-        )
+    bin_ms = bin_seconds * 1000
+    rows = samples.select(
+        "job_name", F.col(ts).cast("timestamp").alias("_ts"), F.col(metric).cast("bigint").alias("value")
+    ).withWatermark("_ts", delay)
+    binned = rows.select("job_name", (F.expr(f"unix_millis(_ts) div {bin_ms}") * bin_ms).alias("bin"), F.unix_micros("_ts").alias("us"), "value", "_ts")
+    return binned.groupBy("job_name", "bin").transformWithState(
+        statefulProcessor=_Segment(bin_ms),
+        outputStructType="job_name STRING, bin BIGINT, at TIMESTAMP, first BIGINT, last BIGINT, growth BIGINT",
+        outputMode="Append",
+        timeMode="EventTime",
+        eventTimeColumnName="at",
     )
-    grown = minutes.groupBy("job_name").transformWithStateInPandas(
-        statefulProcessor=_Growth(),
+
+
+def counter_growth_live(samples: DataFrame, metric: str, ts: str = "ts", delay: str = "1 minute", bin_seconds: int = 10) -> DataFrame:
+    """Growth of a counter per job and minute on a stream: ``job_name, minute, growth``.
+
+    A minute is closed when the watermark has passed it; later samples of it are dropped. Samples become segments of
+    ``bin_seconds``, a divisor of a minute, and only segments meet in the state of a job.
+    """
+    segments = counter_segments(samples, metric, ts, delay, bin_seconds)
+    grown = segments.groupBy("job_name").transformWithState(
+        statefulProcessor=_Minutes(),
         outputStructType="job_name STRING, minute_ms BIGINT, growth BIGINT",
         outputMode="Append",
-        timeMode="None",
+        timeMode="EventTime",
     )
     return grown.select("job_name", F.timestamp_millis("minute_ms").alias("minute"), "growth")

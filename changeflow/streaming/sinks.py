@@ -176,7 +176,8 @@ def _committed_by(spark: SparkSession, target: FileTarget, job: str) -> DataFram
         columns = [f for f in spark.read.parquet(path).schema.fields if f.name != "topic"]
         return spark.read.schema(T.StructType([*columns, T.StructField("topic", T.StringType())])).parquet(path)
     except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        # A sink that has committed no rows has files of its own but none with a schema.
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA") or "Unable to infer schema" in str(e):
             return None
         raise
 

@@ -20,7 +20,17 @@ from changeflow.operators.changelog import (
 )
 from changeflow.operators.envelope import extract_row, op_image, parse_envelope, to_envelope, to_upsert_record
 from changeflow.sources import derived
-from changeflow.sources.changelog import filter_tables, key_ranges, read_changelog, snapshot_then_log
+from changeflow.session import work_dir
+from changeflow.sources.changelog import (
+    filter_tables,
+    key_ranges,
+    read_changelog,
+    read_outbox,
+    snapshot_then_log,
+    stream_changelog,
+    write_changelog,
+)
+from changeflow.sources.tables import OUTBOX_EVENTS, ORDERS, read_table
 from changeflow.sources.tables import ORDERS, read_table
 
 
@@ -247,3 +257,48 @@ def test_state_as_of_folds_ties_by_position(spark):
     rows = [(1, 10, 5, "c", "first"), (1, 11, 5, "u", "second"), (2, 13, 5, "u", "second"), (2, 12, 5, "c", "first"), (2, 14, 6, "d", None)]
     log = spark.createDataFrame(rows, "id int, pos int, ts int, op string, v string")
     assert {r.id: r.v for r in state_as_of(log, ["id"], "pos", 5, cut="ts").collect()} == {1: "second", 2: "second"}
+
+
+def _log(spark):
+    def text(db, table, i):
+        row = f'{{"id": {i}, "status": "s{i}", "destination": "d{i}"}}'
+        return f'{{"before": null, "after": {row}, "source": {{"db": "{db}", "table": "{table}", "pos": {i}}}, "op": "c", "ts_ms": 0}}'
+
+    names = [("shop", "orders"), ("shop", "outbox_events"), ("other", "orders")]
+    rows = [(text(*names[i % 3], i),) for i in range(30)] + [("no envelope",), (None,)]
+    return spark.createDataFrame(rows, "value STRING").selectExpr("'t' AS topic", "0 AS partition", "1L AS offset", "'k' AS key", "value", "current_timestamp() AS timestamp")
+
+
+@pytest.mark.parametrize("streaming", [False, True])
+def test_log_by_table_is_pruned_and_parsed_once(spark, streaming):
+    path = work_dir(spark, "by-table")
+    if streaming:
+        source = work_dir(spark, "flat")
+        _log(spark).write.parquet(source)
+        flow = spark.readStream.schema(_log(spark).schema).parquet(source)
+        stream_changelog(flow, path, work_dir(spark, "cp")).awaitTermination()
+    else:
+        write_changelog(_log(spark), path)
+    log = read_outbox(spark, path, "shop", by_table=True)
+    rows = read_table(log, OUTBOX_EVENTS, db="shop")
+    assert sorted(r.id for r in rows.collect()) == list(range(1, 30, 3))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "(db#" in plan and "(table#" in plan
+    # No parse to find the table: the filters are on directories.
+    assert "get_json_object" not in plan and "from_json" not in plan.split("PartitionFilters")[1]
+    files = {f.split("/table=")[1].split("/")[0] for f in log.where("db = 'shop' AND table = 'outbox_events'").inputFiles()}
+    assert "outbox_events" in files
+    scanned = read_changelog(spark, path, ["shop.orders", "other.orders"], by_table=True)
+    assert scanned.count() == 20 and {r.db for r in scanned.select("db").distinct().collect()} == {"shop", "other"}
+    # With all tables, texts that name none are there too; a filter by text finds the same rows as one by directory.
+    whole = read_changelog(spark, path, by_table=True)
+    assert whole.count() == 32 and filter_tables(whole, ["shop.orders"]).count() == 10
+    assert read_table(whole, ORDERS, db="other").count() == 10 and read_table(whole.drop("db", "table"), ORDERS).count() == 20
+
+
+def test_log_by_table_can_be_streamed(spark):
+    path, out = work_dir(spark, "by-table"), work_dir(spark, "out")
+    write_changelog(_log(spark), path)
+    rows = read_table(read_changelog(spark, path, ["shop.orders"], streaming=True, by_table=True), ORDERS)
+    rows.select("id").writeStream.option("checkpointLocation", work_dir(spark, "cp")).trigger(availableNow=True).start(out, format="parquet").awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(0, 30, 3))

@@ -12,7 +12,14 @@ from changeflow.operators.monitor import counter_growth, job_health, silence
 from changeflow.operators.route import route_outbox
 from changeflow.session import work_dir
 from changeflow.sources import derived
-from changeflow.streaming.live import counter_growth_live, lifecycle_live, read_state, silence_live, write_state
+from changeflow.streaming.live import (
+    counter_growth_live,
+    lifecycle_live,
+    lifecycle_ordered,
+    read_state,
+    silence_live,
+    write_state,
+)
 from changeflow.streaming.progress import ProgressMetrics
 from changeflow.streaming.sinks import (
     FileTarget,
@@ -239,6 +246,72 @@ def test_lifecycle_over_batches(spark, small, chunks):
         lifecycle_live(derived.claimed_ops(derived.events(spark, small)), "id")
 
 
+def ops_stream(spark, name, batches):
+    """Files of (id, pos, op) at a second each position, read one file per batch in the order they were written."""
+    path, schema = work_dir(spark, name), "id BIGINT, pos BIGINT, op STRING, ts TIMESTAMP"
+    for batch in batches:
+        data = [(i, p, op, START + timedelta(seconds=p)) for i, p, op in batch]
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+BEAT = (None, 1_000_000, None)
+
+
+def found(rows):
+    return sorted((g["id"], g["pos"], g.get("prev_op"), g["op"], g["late"]) for g in rows)
+
+
+def test_a_late_change_does_not_shift_the_order(spark):
+    # The delete at 2 comes after the update at 3: what follows 3 is judged by 3.
+    flow = ops_stream(spark, "late-ops", [[(1, 1, "c"), (1, 3, "u")], [(1, 2, "d"), (1, 4, "u")], [(1, 5, "c")]])
+    assert found(live(spark, lifecycle_live(flow, "id"), "late-ops")) == [(1, 2, "u", "d", True), (1, 5, "u", "c", False)]
+
+
+def test_lifecycle_in_order_whatever_the_batches(spark):
+    batches = [
+        [(1, 4, "d"), (2, 2, "u"), (1, 1, "c")],
+        [(1, 3, "c"), (1, 2, "u"), (2, 1, "c")],
+        [(1, 9, "u"), (2, 8, "c"), (3, 7, "u")],
+        [(1, 6, "c"), (2, 5, "d")],
+        [BEAT],
+    ]
+    got = found(live(spark, lifecycle_ordered(ops_stream(spark, "ordered", batches), "id", "ts", "1 minute"), "ordered"))
+    assert got == [(1, 3, "u", "c", False), (3, 7, None, "u", False)]
+    with pytest.raises(ValueError, match="takes a stream"):
+        lifecycle_ordered(spark.range(1).selectExpr("id", "1 AS pos", "'c' AS op", "now() AS ts"), "id", "ts", "1 minute")
+
+
+def test_lifecycle_drops_what_comes_after_the_watermark(spark):
+    # The first two batches move the watermark past position 1, so its delete is gone and the update at 300 fits.
+    batches = [[(1, 0, "c"), (1, 200, "u")], [(2, 400, "c")], [(1, 1, "d"), (1, 300, "u"), (3, 500, "d")], [BEAT]]
+    got = found(live(spark, lifecycle_ordered(ops_stream(spark, "dropped", batches), "id", "ts", "10 seconds"), "dropped"))
+    assert got == [(3, 500, None, "d", False)]
+
+
+def test_a_topic_without_records(spark):
+    flow = ops_stream(spark, "legal", [[(1, 1, "c"), (1, 2, "u")], [BEAT]])
+    with pytest.raises(ValueError, match="no job has committed"):
+        live(spark, lifecycle_ordered(flow, "id", "ts", "1 minute"), "legal")
+
+
+def test_counter_segments_join_across_bins_and_batches(spark):
+    big = 2**53
+    batches = [
+        [("a", 0.5, big + 3), ("a", 0.1, big + 1), ("b", 0.2, 5)],
+        [("a", 2.2, 4), ("a", 0.3, big + 2), ("a", 1.9, 1)],
+        [("a", 2.1, 9), ("b", 2.5, 5), ("a", 2.3, 4)],
+        [(None, 500, None)],
+    ]
+    flow, whole = minute_stream(spark, "segments", batches)
+    got = live(spark, counter_growth_live(flow.withColumnRenamed("job", "job_name"), "v", delay="5 minutes"), "segments")
+    want = counter_growth(whole.where("v IS NOT NULL").withColumnRenamed("job", "job_name"), "v").collect()
+    assert sorted((g["job_name"], g["minute"][11:16], g["growth"]) for g in got) == sorted(
+        (r.job_name, f"{r.minute:%H:%M}", r.growth) for r in want
+    )
+    assert ("a", "00:00", 2) in {(g["job_name"], g["minute"][11:16], g["growth"]) for g in got}
+
+
 def minute_stream(spark, name, batches):
     """Files of (job, minute, value), read one file per batch in the order they were written."""
     path = work_dir(spark, name)
