@@ -217,8 +217,9 @@ def test_collocations_equal_brute_force(spark, small, monkeypatch, support, samp
     assert as_tuples(phrases.collocations(docs, support)) == want
 
 
-def test_small_bitmap_changes_nothing(spark, small, monkeypatch):
+def test_small_tables_change_nothing(spark, small, monkeypatch):
     monkeypatch.setattr(phrases, "BITS", 1 << 15)
+    monkeypatch.setattr(phrases, "BUCKETS", 1 << 15)
     docs = table(spark, small, "documents").limit(120)
     want = brute_collocations([(r["lang"], r["text"]) for r in docs.collect()], 6)
     assert as_tuples(phrases.collocations(docs, 6)) == want
@@ -227,8 +228,14 @@ def test_small_bitmap_changes_nothing(spark, small, monkeypatch):
 def test_bitmap_holds_its_members(spark):
     rows = [("en", f"word{i} and {i}") for i in range(3000)]
     held = phrases.members(spark.createDataFrame(rows, "lang string, phrase string"))
-    assert held.holds("en", [p.encode() for _, p in rows]).all()
-    assert held.holds("fr", [p.encode() for _, p in rows]).mean() < 0.01
+
+    def hashes(lang):
+        own = np.full(len(rows), phrases.xxhash.xxh64_intdigest(lang.encode(), phrases.SEED), np.uint64)
+        for words in zip(*(p.encode().split() for _, p in rows)):
+            own = phrases.chained(phrases.word_hashes(words), own)
+        return own
+
+    assert held.holds(hashes("en")).all() and held.holds(hashes("fr")).mean() < 0.01
 
 
 def test_collocations_of_odd_rows(spark):
