@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.functions.topics import topic_name
@@ -32,6 +32,7 @@ from changeflow.sources.changelog import (
     snapshot_then_log,
     write_changelog,
 )
+from changeflow.sources.snapshot import ChunkedSnapshot
 from changeflow.sources.tables import CUSTOMERS, ORDERS, OUTBOX_EVENTS, read_table
 from changeflow.sources.topics import count_matching, first_match, poll
 
@@ -131,6 +132,35 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return snapshot_then_log(snapshot, log, high)
 
 
+@query(
+    "snapshot_chunks",
+    with_inputs("f_log", select=FOLD.format(cols="id, after_amount AS amount, after_status AS status", where="", live="AND op <> 'd'")),
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """A snapshot of the accounts in chunks while they change, stopped after two of them and taken up again.
+
+    The log is as far as the source has come. Each group of chunks is read in the middle of the changes between its positions.
+    """
+    path = work_dir(spark, "account-log")
+    _account_log(spark, folder).drop("ts").write.parquet(path)
+    log = spark.read.parquet(path)
+    bounds = log.agg(F.min("id").alias("lower"), F.max("id").alias("upper"), F.max("pos").alias("last")).first()
+    snapshot = ChunkedSnapshot(work_dir(spark, "snapshot"), "id", bounds["lower"] or 0, bounds["upper"] or 0, 4)
+    step = (bounds["last"] or 0) // 9 + 1
+    now = [0]
+
+    def position() -> int:
+        now[0] += step
+        return now[0]
+
+    def read(where: Column) -> DataFrame:
+        return state_as_of(log, ["id"], "pos", now[0] + step // 2).where(where).drop("op", "pos")
+
+    for limit in (2, None):
+        snapshot.take(spark, read, position, limit=limit)
+    return current_state(snapshot.changes(spark, log), ["id"], "pos").select("id", "amount", "status")
+
+
 @query(
     "snapshot_parallel",
     with_inputs(

@@ -10,10 +10,12 @@ from changeflow.sources.changelog import (
     stream_changelog,
     write_changelog,
 )
+from changeflow.sources.snapshot import ChunkedSnapshot
 from changeflow.sources.tables import TableSpec, read_parquet_stream, read_parquet_table, read_table
 from changeflow.sources.topics import count_matching, first_match, poll
 
 __all__ = [
+    "ChunkedSnapshot",
     "TableSpec",
     "count_matching",
     "filter_tables",
