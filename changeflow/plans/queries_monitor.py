@@ -73,21 +73,21 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return increase(_metrics(spark, folder), "num_restarts")
 
 
-def _alert_sql(rule: AlertRule) -> str:
+def alert_sql(rule: AlertRule) -> str:
     return with_inputs("f_met", select=f"WITH {_state_sql(rule)} SELECT * FROM states")
 
 
-@query("alert_restart_loop", _alert_sql(RESTART_LOOP))
+@query("alert_restart_loop", alert_sql(RESTART_LOOP))
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return alert(_metrics(spark, folder), RESTART_LOOP)
 
 
-@query("alert_checkpoint_duration", _alert_sql(CHECKPOINT_DURATION))
+@query("alert_checkpoint_duration", alert_sql(CHECKPOINT_DURATION))
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return alert(_metrics(spark, folder), CHECKPOINT_DURATION)
 
 
-@query("alert_checkpoint_failures", _alert_sql(CHECKPOINT_FAILURES))
+@query("alert_checkpoint_failures", alert_sql(CHECKPOINT_FAILURES))
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return alert(_metrics(spark, folder), CHECKPOINT_FAILURES)
 

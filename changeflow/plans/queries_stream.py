@@ -11,15 +11,18 @@ from changeflow.functions.topics import topic_name
 from changeflow.operators.changelog import dedup_events
 from changeflow.operators.enrich import tag_event
 from changeflow.operators.envelope import parse_envelope, parse_flat, source_struct, to_envelope
+from changeflow.operators.monitor import CHECKPOINT_DURATION, RESTART_LOOP, AlertRule
 from changeflow.operators.route import route_outbox
 from changeflow.plans.declared import patterns, run_pipeline, upsert_records, with_paths
 from changeflow.plans.expected import with_inputs
 from changeflow.plans.queries_changelog import FOLD
 from changeflow.plans.queries_format import NOW, STREAM_PREFIX
+from changeflow.plans.queries_monitor import alert_sql
 from changeflow.plans.registry import query
 from changeflow.session import work_dir
 from changeflow.sources import derived
 from changeflow.sources.tables import CUSTOMERS, ORDERS, read_parquet_stream
+from changeflow.streaming.alerts import alert_live
 from changeflow.streaming.live import counter_growth_live, lifecycle_live, lifecycle_ordered, read_state, silence_live, write_state
 from changeflow.streaming.sinks import (
     FileTarget,
@@ -417,3 +420,36 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     texts = found.select(F.to_json(F.struct("job_name", "minute", "growth")).alias("value"))
     rows = parse_flat(_run(texts, spark, "growth"), "job_name STRING, minute TIMESTAMP, growth BIGINT")
     return rows.select("row.job_name", F.col("row.minute").cast("timestamp_ntz").alias("minute"), "row.growth")
+
+
+# --- live alerts --------------------------------------------------------------------------------------------------
+
+
+def _metric_parts(spark: SparkSession, folder: str, metric: str) -> tuple[DataFrame, str]:
+    """Metric samples out of order in several batches, and the delay that takes."""
+    path = work_dir(spark, "metrics")
+    metrics = derived.job_metrics(derived.events(spark, folder)).select("job_name", "ts", metric)
+    # Samples are five seconds apart over all jobs.
+    metrics.withColumn("place", F.expr("unix_seconds(CAST(ts AS TIMESTAMP)) div 5")).write.parquet(path)
+    written = spark.read.parquet(path)
+    first = written.agg(F.min("place")).first()[0] or 0
+    return _late_parts(spark, written.withColumn("place", F.col("place") - first), "place", "ts")
+
+
+def _alert_states(spark: SparkSession, folder: str, rule: AlertRule) -> DataFrame:
+    samples, delay = _metric_parts(spark, folder, rule.metric)
+    found = alert_live(samples, rule, delay=delay, bin_seconds=60)
+    texts = found.select(F.to_json(F.struct("job_name", "minute", "value", "state")).alias("value"))
+    rows = parse_flat(_run(texts, spark, "alert"), "job_name STRING, minute TIMESTAMP, value BIGINT, state STRING")
+    return rows.select("row.job_name", F.col("row.minute").cast("timestamp_ntz").alias("minute"), "row.value", "row.state")
+
+
+@query("alert_live", alert_sql(RESTART_LOOP))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The rule on a counter, evaluated as its samples come in."""
+    return _alert_states(spark, folder, RESTART_LOOP)
+
+
+@query("alert_live_gauge", alert_sql(CHECKPOINT_DURATION))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return _alert_states(spark, folder, CHECKPOINT_DURATION)

@@ -263,13 +263,16 @@ class _Segment(StatefulProcessor):
         self.samples.clear()
         if values:
             grown = sum(_step(a, b) for a, b in zip(values, values[1:]))
-            at = datetime.fromtimestamp((key[1] + self.bin_ms) / 1000, UTC)
-            yield Row(job_name=key[0], bin=key[1], at=at, first=values[0], last=values[-1], growth=grown)
+            yield Row(job_name=key[0], bin=key[1], at=_time(key[1] + self.bin_ms), first=values[0], last=values[-1], growth=grown)
 
     def close(self) -> None:
         pass
 
 
+def _time(ms: int) -> datetime:
+    return datetime.fromtimestamp(ms / 1000, UTC)
+
+
 def _step(before: int, value: int) -> int:
     """Growth from one value of a counter to the next; a smaller one is a reset and counts whole."""
     return value if value < before else value - before
@@ -302,7 +305,7 @@ class _Minutes(StatefulProcessor):
             before = last
             self.waiting.removeKey((bin_,))
         self.last.update((before,))
-        yield Row(job_name=key[0], minute_ms=end - MINUTE_MS, growth=growth)
+        yield Row(job_name=key[0], minute_ms=end - MINUTE_MS, at=_time(end), growth=growth)
 
     def close(self) -> None:
         pass
@@ -335,11 +338,17 @@ def counter_growth_live(samples: DataFrame, metric: str, ts: str = "ts", delay:
     A minute is closed when the watermark has passed it; later samples of it are dropped. Samples become segments of
     ``bin_seconds``, a divisor of a minute, and only segments meet in the state of a job.
     """
+    grown = growth_minutes(samples, metric, ts, delay, bin_seconds)
+    return grown.select("job_name", F.timestamp_millis("minute_ms").alias("minute"), "growth")
+
+
+def growth_minutes(samples: DataFrame, metric: str, ts: str, delay: str, bin_seconds: int) -> DataFrame:
+    """``counter_growth_live`` with what the next operator on a stream needs: the minute in milliseconds, and its end as event time."""
     segments = counter_segments(samples, metric, ts, delay, bin_seconds)
-    grown = segments.groupBy("job_name").transformWithState(
+    return segments.groupBy("job_name").transformWithState(
         statefulProcessor=_Minutes(),
-        outputStructType="job_name STRING, minute_ms BIGINT, growth BIGINT",
+        outputStructType="job_name STRING, minute_ms BIGINT, at TIMESTAMP, growth BIGINT",
         outputMode="Append",
         timeMode="EventTime",
+        eventTimeColumnName="at",
     )
-    return grown.select("job_name", F.timestamp_millis("minute_ms").alias("minute"), "growth")
