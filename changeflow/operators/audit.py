@@ -70,22 +70,12 @@ def parity_hash(a: DataFrame, b: DataFrame, key: str, fields: list[str]) -> Data
     that the comparison shuffles fixed-width numbers whatever the records hold.
     """
 
-    def side(df: DataFrame, sign: int, in_a: int) -> DataFrame:
-        text = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
-        hashes = [F.xxhash64(text), F.xxhash64(F.concat(F.lit("\u0001"), text))]
-        # Sums of 38 digits hold more records of one key than there can be.
-        signed = [h.cast("decimal(38,0)") for h in hashes]
-        if sign < 0:
-            signed = [-h for h in signed]
-        return df.select(
-            key,
-            F.lit(in_a).alias("_in_a"),
-            F.lit(1 - in_a).alias("_in_b"),
-            signed[0].alias("_h1"),
-            signed[1].alias("_h2"),
-        )
+    both = _signed_hashes(a, key, fields, 1).unionAll(_signed_hashes(b, key, fields, 0))
+    return _judged(both, key)
+
 
-    both = side(a, 1, 1).unionAll(side(b, -1, 0))
+def _judged(both: DataFrame, key: str) -> DataFrame:
+    """Per key the records of each side, and whether they are the same ones equally often."""
     counted = both.groupBy(key).agg(
         F.sum("_in_a").alias("n_a"), F.sum("_in_b").alias("n_b"), F.sum("_h1").alias("_h1"), F.sum("_h2").alias("_h2")
     )
@@ -98,6 +88,42 @@ def parity_hash(a: DataFrame, b: DataFrame, key: str, fields: list[str]) -> Data
     return counted.select(key, "n_a", "n_b", verdict.alias("verdict"))
 
 
+def _signed_hashes(df: DataFrame, key: str, fields: list[str], in_a: int) -> DataFrame:
+    """``key, _in_a, _in_b, _h1, _h2``: two hashes of each record, negative on the second side, so equal sides sum up to zero."""
+    text = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    hashes = [F.xxhash64(text), F.xxhash64(F.concat(F.lit("\u0001"), text))]
+    # Sums of 38 digits hold more records of one key than there can be.
+    signed = [h.cast("decimal(38,0)") if in_a else -h.cast("decimal(38,0)") for h in hashes]
+    return df.select(
+        key, F.lit(in_a).alias("_in_a"), F.lit(1 - in_a).alias("_in_b"), signed[0].alias("_h1"), signed[1].alias("_h2")
+    )
+
+
+def parity_digest(a: DataFrame, b: DataFrame, key: str, fields: list[str], buckets: int = 4096, levels: int = 2) -> DataFrame:
+    """``parity_hash`` of the keys that differ, found by descending a tree of digests: ``key, n_a, n_b, verdict``.
+
+    A bucket of keys has a digest on each side: how many records, and the sums of their hashes. Buckets whose digests differ are
+    cut into ``buckets`` smaller ones on the next of ``levels``, and only records of buckets that differ on the last are shuffled by
+    key. Sides that are equal are read once and move one row for each bucket and task, whatever they hold; few differences
+    move the records of as many small buckets. Each level reads both sides again, without what the level above has ruled out.
+    """
+    # The key is hashed with its record, or a record under another key of its bucket would go unseen.
+    whole = list(dict.fromkeys([key, *fields]))
+    both = _signed_hashes(a, key, whole, 1).unionAll(_signed_hashes(b, key, whole, 0))
+    place = F.xxhash64(F.lit("bucket"), F.col(key))
+    names = []
+    for level in range(levels):
+        names.append(f"_bucket_{level}")
+        both = both.withColumn(names[-1], F.pmod(F.xxhash64(place, F.lit(level)), F.lit(buckets)).cast("int"))
+        digests = both.groupBy(*names).agg(
+            (F.sum("_in_a") - F.sum("_in_b")).alias("_n"), F.sum("_h1").alias("_s1"), F.sum("_h2").alias("_s2")
+        )
+        differ = digests.where("_n <> 0 OR _s1 <> 0 OR _s2 <> 0").select(*names)
+        # On the first level there are no more than ``buckets`` of them.
+        both = both.join(F.broadcast(differ) if level == 0 else differ, names, "left_semi")
+    return _judged(both, key).where(F.col("verdict") != "equal")
+
+
 # --- exactly once, completeness, continuity -----------------------------------------------------------------------
 
 

@@ -382,24 +382,23 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return parse_flat(_run(texts, spark, "lifecycle-late"), "id BIGINT, pos BIGINT, prev_op STRING, op STRING").select("row.*")
 
 
-# The last watermark: a minute that ends after it is still open when the stream ends.
-_CLOSED = "time_bucket(INTERVAL 1 MINUTE, ts) + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE"
-
-
 @query(
     "silence_live",
-    f"""SELECT job_name, minute + INTERVAL 1 MINUTE AS silent_from, following AS silent_until
+    """SELECT job_name, minute + INTERVAL 1 MINUTE AS silent_from, following AS silent_until
         FROM (SELECT *, lead(minute) OVER (PARTITION BY job_name ORDER BY minute) AS following
-            FROM (SELECT DISTINCT event_type AS job_name, time_bucket(INTERVAL 1 MINUTE, ts) AS minute FROM events
-                WHERE {_CLOSED}) a) b
-        WHERE following > minute + INTERVAL 1 MINUTE""",
+            FROM (SELECT DISTINCT event_type AS job_name, time_bucket(INTERVAL 1 MINUTE, ts) AS minute FROM events) a) b
+        WHERE following IS NULL OR following > minute + INTERVAL 1 MINUTE""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    found = silence_live(read_parquet_stream(spark, folder, "events"), "event_type", "ts")
+    """Silent spans, those that go on when the stream ends with a null end."""
+    events = derived.events(spark, folder).select("event_type", "event_id", "ts")
+    late, delay = _late_parts(spark, events, "event_id", "ts")
+    found = silence_live(late, "event_type", "ts", delay)
     texts = found.select(F.to_json(F.struct("job_name", "silent_from", "silent_until")).alias("value"))
     rows = parse_flat(_run(texts, spark, "silence"), "job_name STRING, silent_from TIMESTAMP, silent_until TIMESTAMP")
-    # Spans reported while they lasted depend on where the batches were cut; the ended ones do not.
-    return rows.select("row.*").where(F.col("silent_until").isNotNull()).select(
+    # A span that was reported while it lasted is reported again with its end; the heartbeat is no job.
+    spans = rows.select("row.*").where(F.col("job_name").isNotNull()).groupBy("job_name", "silent_from")
+    return spans.agg(F.max("silent_until").alias("silent_until")).select(
         "job_name", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("silent_from", "silent_until")]
     )
 

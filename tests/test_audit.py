@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from changeflow.operators.audit import (
     null_report,
     order_violations,
     parity,
+    parity_digest,
     parity_hash,
     parity_outbox,
     routing_report,
@@ -161,3 +163,30 @@ def test_continuity(spark, burst):
         assert got == {"burst": (3, 0, 1), "steady": (1, 1, 0), "after_quiet": (2, 1, 0)}
     else:
         assert got == {"steady": (4, 1, 1), "after_quiet": (2, 1, 0)}
+
+
+@pytest.mark.parametrize("buckets, levels", [(1, 1), (4, 2), (64, 1), (16, 3)])
+def test_digests_find_what_the_whole_comparison_finds(spark, buckets, levels):
+    draw = random.Random(buckets)
+    a = [(draw.randrange(300), draw.choice("xyz"), draw.choice([None, 1, 2])) for _ in range(400)]
+    b = [r if draw.random() < 0.97 else (r[0], r[1], 9) for r in a if draw.random() < 0.98] + [(900, "x", 1), (None, "x", 1), a[0]]
+    # A record under another key: digests without keys could not tell.
+    b += [(5000, "same", 1)]
+    a += [(6000, "same", 1), (None, "x", 1)]
+    left, right = (spark.createDataFrame(rows, "id BIGINT, s STRING, n INT") for rows in (a, b))
+
+    def found(frame):
+        return sorted((tuple(r) for r in frame.collect()), key=str)
+
+    whole = parity_hash(left, right, "id", ["s", "n"]).where("verdict <> 'equal'")
+    assert found(parity_digest(left, right, "id", ["s", "n"], buckets, levels)) == found(whole)
+    assert found(parity_digest(left, left, "id", ["s", "n"], buckets, levels)) == []
+    assert found(parity_digest(left, left.limit(0), "id", ["s"], buckets, levels)) == found(parity_hash(left, left.limit(0), "id", ["s"]))
+
+
+def test_equal_sides_move_no_rows(spark):
+    rows = spark.range(20_000).selectExpr("id", "id % 7 AS n")
+    frame = parity_digest(rows, rows.repartition(3), "id", ["n"], buckets=8)
+    assert frame.collect() == []
+    shuffled = [line for line in frame._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    assert shuffled and all("_bucket_0" in line or "id" in line for line in shuffled)
