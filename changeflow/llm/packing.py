@@ -19,6 +19,7 @@ import os
 import re
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,12 +34,13 @@ from changeflow.llm.common import batches_of, cut
 
 CAPACITY = 2048
 END = 1
-#: Pieces whose ids a worker remembers before it starts anew; pieces encoded at a time.
-REMEMBERED, TOGETHER = 250_000, 512
+#: Pieces that a worker learns before it lets go of those it has not met since the last time.
+REMEMBERED = 200_000
 # The pieces that the tokenizer encodes one by one, once a text is in lower case. The first pattern is for ASCII texts.
 SHORT = "'s|'t|'re|'ve|'m|'ll|'d"
 ASCII_PIECE = re.compile(SHORT + r"|[a-z]+|[0-9]|[^ \t-\ra-z0-9]+")
-PIECE = regex.compile(SHORT + r"|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
+# In the letters of SAFE below; six of them are numbers without being digits.
+PIECE = re.compile(SHORT + r"|[^\W\d_²³¹¼½¾]+|[\d²³¹¼½¾]|(?:[^\w \t-\r\xa0]|_)+")
 LETTERS = regex.compile(r"\p{L}+")
 #: Latin and Cyrillic letters, numbers and marks, which all versions of Unicode class alike.
 SAFE = re.compile("[\x00-\x7f\xa0-\u024f\u0400-\u045f\u2010-\u2027\u20ac]*")
@@ -55,7 +57,9 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = self.tokenizer.model
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -76,18 +80,19 @@ class WordTokenizer:
     def learn(self, pieces: set[str]) -> None:
         new = [x for x in pieces if x not in self.known]
         if len(self.known) + len(new) > REMEMBERED:
-            self.known, new = {}, list(pieces)
-        # Runs of letters are one piece each wherever they stand, so many can be encoded as one text.
-        letters = [x for x in new if LETTERS.fullmatch(x)]
-        for at in range(0, len(letters), TOGETHER):
-            some = letters[at : at + TOGETHER]
-            got = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ids, ends = np.array(got.ids, "<u4").tobytes(), np.searchsorted(got.word_ids, np.arange(len(some) + 1)).tolist()
-            for piece, low, high in zip(some, ends, ends[1:]):
-                self.known[piece] = ids[4 * low : 4 * high]
+            # What has been met since the last time is kept for one more turn, so frequent pieces are not learnt again.
+            self.before, self.known, new = self.known, {}, list(pieces)
         for piece in new:
-            if piece not in self.known:
-                self.known[piece] = self.encode(piece)
+            ids = self.before.get(piece)
+            self.known[piece] = self.ids_of(piece) if ids is None else ids
+
+    def ids_of(self, piece: str) -> bytes:
+        """A run of letters goes straight to the merges, in the alphabet of its bytes; nothing else would change or cut it."""
+        if not LETTERS.fullmatch(piece):
+            return self.encode(piece)
+        if not piece.isascii():
+            ((piece, _),) = self.tokenizer.pre_tokenizer.pre_tokenize_str(piece)
+        return array("I", [t.id for t in self.merges.tokenize(piece)]).tobytes()
 
 
 @functools.cache
