@@ -37,6 +37,11 @@ def parity(a: DataFrame, b: DataFrame, key: str, fields: list[str], order: str |
     """
     left, right = (_one_per_key(side, key, fields, order) for side in (a, b))
     both = left.withColumnRenamed("_image", "_a").join(right.withColumnRenamed("_image", "_b"), key, "full_outer")
+    return compared(both, key, fields)
+
+
+def compared(both: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """``key, verdict, differing`` of rows that hold the images ``_a`` and ``_b`` of a key, one of which may be null."""
     differs = [F.when(~F.col("_a")[f].eqNullSafe(F.col("_b")[f]), F.lit(f)) for f in fields]
     in_both = F.col("_a").isNotNull() & F.col("_b").isNotNull()
     differing = F.when(in_both, F.array_compact(F.array(*differs)))

@@ -57,22 +57,25 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return parity(a, derived.emitted_orders(orders), "id", ["customer_id", "status"], "offset")
 
 
-@query(
-    "parity_outbox",
-    with_inputs(
-        "f_emit_out",
-        select=f"""WITH b AS ({LATEST.format(src='f_emit_out')})
+OUTBOX_PARITY = with_inputs(
+    "f_emit_out",
+    select=f"""WITH b AS ({LATEST.format(src='f_emit_out')})
             SELECT a.id, CASE WHEN b.id IS NULL THEN 'only_a' ELSE 'equal' END AS verdict,
                 CASE WHEN b.id IS NULL THEN NULL ELSE '' END AS differing
             FROM f_out a LEFT JOIN b ON a.id = b.id""",
-    ),
 )
+
+
+@query("parity_outbox", OUTBOX_PARITY)
 def _(spark: SparkSession, folder: str) -> DataFrame:
+    return parity_outbox(*dual_outbox(spark, folder), "offset")
+
+
+def dual_outbox(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The outbox as one topic holds it and as it was fanned out; the other side writes the same payloads with other spacing."""
     events = derived.events(spark, folder)
-    single = derived.outbox(events).withColumn("offset", F.col("id"))
-    # The other side writes the same payloads with other spacing.
     spaced = derived.emitted_outbox(events).withColumn("payload", F.replace("payload", F.lit(":"), F.lit(" :  ")))
-    return parity_outbox(single, spaced, "offset")
+    return derived.outbox(events).withColumn("offset", F.col("id")), spaced
 
 
 _PARITY = """SELECT a.id, CAST(1 AS BIGINT) AS n_a, CAST(count(b.id) AS BIGINT) AS n_b,

@@ -15,6 +15,7 @@ from changeflow.operators.monitor import CHECKPOINT_DURATION, RESTART_LOOP, Aler
 from changeflow.operators.route import route_outbox
 from changeflow.plans.declared import patterns, run_pipeline, upsert_records, with_paths
 from changeflow.plans.expected import with_inputs
+from changeflow.plans.queries_audit import OUTBOX_PARITY, dual_outbox
 from changeflow.plans.queries_changelog import FOLD
 from changeflow.plans.queries_format import NOW, STREAM_PREFIX
 from changeflow.plans.queries_monitor import alert_sql
@@ -24,6 +25,7 @@ from changeflow.sources import derived
 from changeflow.sources.tables import CUSTOMERS, ORDERS, read_parquet_stream
 from changeflow.streaming.alerts import alert_live
 from changeflow.streaming.live import counter_growth_live, lifecycle_live, lifecycle_ordered, read_state, silence_live, write_state
+from changeflow.streaming.parity import parity_outbox_live
 from changeflow.streaming.sinks import (
     FileTarget,
     Statement,
@@ -452,3 +454,12 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("alert_live_gauge", alert_sql(CHECKPOINT_DURATION))
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return _alert_states(spark, folder, CHECKPOINT_DURATION)
+
+
+@query("parity_live", OUTBOX_PARITY)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Both outputs of a dual run as streams, out of order and with repeated records, compared to the last key."""
+    (single, delay), (fanned, more) = (_late_parts(spark, side, "id", "created_at") for side in dual_outbox(spark, folder))
+    found = parity_outbox_live(single, fanned, "created_at", max(delay, more, key=lambda d: int(d.split()[0])))
+    texts = found.select(F.to_json(F.struct("id", "verdict", "differing")).alias("value"))
+    return parse_flat(_run(texts, spark, "parity"), "id BIGINT, verdict STRING, differing STRING").select("row.*")

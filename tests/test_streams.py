@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from changeflow.operators.audit import exactly_once, lifecycle_violations
+from changeflow.operators.audit import exactly_once, lifecycle_violations, parity
 from changeflow.operators.changelog import compact, current_state, dedup_events
 from changeflow.operators.monitor import (
     AlertRule,
@@ -29,6 +29,7 @@ from changeflow.streaming.live import (
     silence_live,
     write_state,
 )
+from changeflow.streaming.parity import parity_live
 from changeflow.streaming.progress import ProgressMetrics
 from changeflow.streaming.sinks import (
     FileTarget,
@@ -397,6 +398,28 @@ def test_alerts_take_streams(spark):
         alert_live(spark.range(1), GAUGE)
 
 
+def test_parity_of_two_streams(spark):
+    schema, sides = "id BIGINT, v STRING, ts TIMESTAMP", []
+
+    def side(name, batches):
+        path = work_dir(spark, name)
+        for batch in batches:
+            rows = [(i, v, START + timedelta(seconds=s)) for i, v, s in batch]
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+        sides.append(spark.read.parquet(path).where("id IS NOT NULL"))
+        return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+    beat = [(None, None, 100_000)]
+    a = side("side-a", [[(2, "x", 20), (3, "y", 30)], [(1, "w", 10), (4, None, 40)], [(6, "u", 60)], beat])
+    b = side("side-b", [[(1, "w", 11), (1, "w", 11)], [(3, "other", 31), (4, None, 41)], [(5, "z", 50)], beat])
+    got = live(spark, parity_live(a, b, "id", ["v"], "ts", "10 minutes"), "parity")
+    want = parity(sides[0], sides[1].dropDuplicates(["id"]), "id", ["v"]).collect()
+    assert sorted((g["id"], g["verdict"], g.get("differing")) for g in got) == sorted((r.id, r.verdict, r.differing) for r in want)
+    assert {r.verdict for r in want} == {"equal", "changed", "only_a", "only_b"}
+    with pytest.raises(ValueError, match="takes streams"):
+        parity_live(*sides, "id", ["v"], "ts", "1 minute")
+
+
 def test_progress_becomes_samples(spark, chunks):
     metrics = ProgressMetrics()
     spark.streams.addListener(metrics)
