@@ -222,3 +222,27 @@ def checkpoint_summary(df: DataFrame, ts: str = "ts", quantile: float | None = N
         F.sum(duration).cast("bigint").alias("total_duration"),
         *extra,
     )
+
+
+# --- quantiles over time ------------------------------------------------------------------------------------------
+
+# Fixed value: the error in rank of a merged sketch of this size, at 99 % confidence, as its public description gives it.
+SKETCH_K, SKETCH_ERROR = 400, 0.0067
+
+
+def metric_sketches(df: DataFrame, metric: str, ts: str = "ts", span: str = "1 hour", k: int = SKETCH_K) -> DataFrame:
+    """A quantile sketch for each job and span: ``job_name, span_start, samples, sketch``.
+
+    A sketch has a size that hardly grows with its samples, and those of any spans can be merged, so samples are read once
+    and quantiles of a day or a month come from hourly sketches.
+    """
+    value = F.col(metric).cast("bigint")
+    spans = df.where(value.isNotNull()).groupBy("job_name", F.window(ts, span)["start"].alias("span_start"))
+    return spans.agg(F.count("*").alias("samples"), F.kll_sketch_agg_bigint(value, k).alias("sketch"))
+
+
+def sketch_quantiles(sketches: DataFrame, by: list[str], ranks: list[float]) -> DataFrame:
+    """Quantiles of merged sketches: ``<by>, samples, quantiles``, in the order of ``ranks``; no sample is read again."""
+    merged = sketches.groupBy(*by).agg(F.sum("samples").alias("samples"), F.kll_merge_agg_bigint("sketch").alias("_merged"))
+    wanted = F.array(*[F.lit(float(r)) for r in ranks])
+    return merged.select(*by, "samples", F.kll_sketch_get_quantile_bigint("_merged", wanted).alias("quantiles"))

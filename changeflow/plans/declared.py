@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from changeflow.operators.enrich import enrich_json, tag_event
 from changeflow.operators.envelope import WIRE, envelope_type
+from changeflow.operators.history import SchemaHistory
 from changeflow.operators.route import route_outbox, route_outbox_single
 from changeflow.sources.changelog import OUTBOX_TABLE, read_changelog
 from changeflow.sources.tables import CUSTOMERS, ORDERS, OUTBOX_EVENTS, TableSpec
@@ -25,7 +26,7 @@ Spec = dict[str, Any]
 TABLES = {spec.name: spec for spec in (ORDERS, CUSTOMERS, OUTBOX_EVENTS)}
 
 _KEYS = {
-    "source": {"type", "name", "path", "format", "layout", "tables", "streaming", "options"},
+    "source": {"type", "name", "path", "format", "layout", "tables", "streaming", "options", "schemas"},
     "transform": {"type", "prefix", "variant", "field", "tag"},
     "sink": {"type", "name", "path", "servers", "topic", "files-per-topic"},
     "pipeline": {"name", "parallelism", "schema.change.behavior", "checkpoint", "prefix", "interval"},
@@ -86,7 +87,12 @@ def _transform(changes: DataFrame, spec: Spec) -> DataFrame:
             changes = changes.withColumn(column, F.lit(None).cast("string"))
     if kind == "upsert":
         names = [name.rpartition(".")[2] for name in spec["source"]["tables"]]
-        return upsert_records(changes, [TABLES[name] for name in names], transform["tag"], prefix)
+        # Of a table whose schema has changed, what its columns were from which position on.
+        histories = {
+            name: SchemaHistory.of(*[(version["from"], version["columns"]) for version in versions])
+            for name, versions in spec["source"].get("schemas", {}).items()
+        }
+        return upsert_records(changes, [TABLES[name] for name in names], transform["tag"], prefix, histories)
     if kind == "tag":
         records = tag_event(changes, prefix).withColumn("topic", F.lit(topic))
     elif kind == "enrich":
@@ -102,24 +108,30 @@ def _transform(changes: DataFrame, spec: Spec) -> DataFrame:
     return records.select("topic", "key", "value")
 
 
-def upsert_records(changes: DataFrame, tables: list[TableSpec], tag: str, prefix: str) -> DataFrame:
+def upsert_records(
+    changes: DataFrame, tables: list[TableSpec], tag: str, prefix: str, histories: dict[str, SchemaHistory] | None = None
+) -> DataFrame:
     """Keyed records of several tables in one pass over the changes, a topic per table.
 
-    A delete has a null value. ``offset`` is the position of the change, by which ``read_upsert`` folds a topic.
+    A delete has a null value. ``offset`` is the position of the change, by which ``read_upsert`` folds a topic. A table with
+    a history has the columns that held at the position of a change, so that an added column reaches its values.
     """
     table = F.col("table") if "table" in changes.columns else F.get_json_object("value", "$.source.table")
     named = changes.withColumn("_table", table)
     keys, values, topics, offsets = [], [], [], []
     for spec in tables:
-        mine = F.col("_table") == spec.name
-        envelope = F.from_json(F.when(mine, F.col("value")), envelope_type(spec.schema), WIRE)
+        mine, history = F.col("_table") == spec.name, (histories or {}).get(spec.name)
+        schema = history.widest if history else spec.schema
+        envelope = F.from_json(F.when(mine, F.col("value")), envelope_type(schema), WIRE)
         named = named.withColumn(f"_{spec.name}", envelope)
         after, before = F.col(f"_{spec.name}")["after"], F.col(f"_{spec.name}")["before"]
-        row = F.struct(*[after[c].alias(c) for c in spec.schema.names], F.lit(tag).alias("job_variant"))
+        pos, job = F.col(f"_{spec.name}")["source"]["pos"], F.lit(tag)
+        row = F.struct(*[after[c].alias(c) for c in schema.names], job.alias("job_variant"))
+        value = history.text(after, pos, job_variant=job) if history else F.to_json(row, WIRE)
         key = F.struct(*[F.coalesce(after[c], before[c]).alias(c) for c in spec.key])
         keys.append(F.when(mine, F.to_json(key, WIRE)))
-        offsets.append(F.when(mine, F.col(f"_{spec.name}")["source"]["pos"]))
-        values.append(F.when(mine & after.isNotNull(), F.to_json(row, WIRE)))
+        offsets.append(F.when(mine, pos))
+        values.append(F.when(mine & after.isNotNull(), value))
         topics.append(F.when(mine, F.lit(f"{prefix}.{spec.name}")))
     wanted = F.col("_table").isin(*[spec.name for spec in tables])
     return named.where(wanted).select(

@@ -18,6 +18,7 @@ from changeflow.operators.changelog import (
     update_delta,
 )
 from changeflow.operators.envelope import parse_envelope
+from changeflow.operators.history import observed_fields
 from changeflow.plans.expected import with_inputs
 from changeflow.plans.queries_format import DATABASE_ROWS
 from changeflow.plans.registry import query
@@ -347,3 +348,16 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 def _(spark: SparkSession, folder: str) -> DataFrame:
     changes = derived.account_changes(derived.events(spark, folder))
     return update_delta(changes, ["amount"], ["status"]).select("pos", "id", "amount_delta", "status_changed")
+
+
+@query(
+    "observed_fields",
+    f"""SELECT event_type AS topic, f.field, f.kind, min(event_id) AS first_pos, max(event_id) AS last_pos, count(*) AS records
+        FROM events, (SELECT unnest([
+            {{'field': 'id', 'kind': 'BIGINT', 'late': FALSE}}, {{'field': 'destination', 'kind': 'STRING', 'late': FALSE}},
+            {{'field': 'new_field', 'kind': 'STRING', 'late': TRUE}}, {{'field': 'new_field', 'kind': 'VOID', 'late': TRUE}}]) AS f) x
+        WHERE NOT f.late OR (ts >= {MIDDLE} AND (event_type = 'error') = (f.kind = 'VOID')) GROUP BY ALL""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Which fields and kinds of values the texts of a topic hold, and from which position on."""
+    return observed_fields(derived.evolving_texts(derived.events(spark, folder)), "topic", "pos")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from changeflow.operators.envelope import source_struct, to_envelope
 from changeflow.plans.declared import patterns, plan_pipeline, run_pipeline, with_paths
 from changeflow.plans.expected import with_inputs
 from changeflow.plans.queries_changelog import written_log
@@ -12,7 +13,8 @@ from changeflow.plans.queries_format import DATABASE_ROWS
 from changeflow.plans.registry import query
 from changeflow.session import work_dir
 from changeflow.sources import derived
-from changeflow.streaming.sinks import FileTarget, read_topic
+from changeflow.sources.changelog import write_changelog
+from changeflow.streaming.sinks import FileTarget, read_topic, read_upsert
 
 JOBS = patterns(derived.DATABASE, "shop.stream", "shop.link")
 
@@ -76,4 +78,46 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return _read(read_topic(spark, FileTarget(f"{root}/out")))
 
 
+@query(
+    "declared_evolving",
+    """SELECT event_id AS id, event_type AS destination, ts >= TIMESTAMP '2024-01-16 00:00:00' AS has_new_field,
+        CASE WHEN ts >= TIMESTAMP '2024-01-16 00:00:00' THEN 'v2-' || event_type END AS new_field, 'table-api' AS job_variant
+        FROM events WHERE event_type <> 'error'""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """A declared keyed job over a table that gets a column: values have it from the position of the change on.
+
+    Errors delete their event again, at a position of their own after all others.
+    """
+    events = derived.events(spark, folder)
+    middle = F.lit(derived.SCHEMA_CHANGE).cast("timestamp_ntz")
+    start = events.where(F.col("ts") >= middle).agg(F.min("event_id")).first()[0]
+    last = events.agg(F.max("event_id")).first()[0] or 0
+    new = F.when(F.col("ts") >= middle, F.concat(F.lit("v2-"), "event_type"))
+    row = F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("destination"), new.alias("new_field"))
+    gone = F.col("event_type") == "error"
+
+    def changes(rows: DataFrame, op: str, pos: Column) -> DataFrame:
+        image = {"before": row if op == "d" else F.when(F.lit(False), row), "after": F.when(F.lit(False), row) if op == "d" else row}
+        source = source_struct(derived.DATABASE, "outbox_events", F.lit(0).cast("bigint"), pos)
+        columns = {**image, "op": F.lit(op), "source": source, "ts_ms": F.lit(0).cast("bigint")}
+        return to_envelope(rows.select(*[c.alias(n) for n, c in columns.items()])).select("value")
+
+    log = changes(events, "c", F.col("event_id")).unionAll(changes(events.where(gone), "d", F.col("event_id") + last + 1))
+    root = work_dir(spark, "evolving")
+    write_changelog(log, f"{root}/log")
+    columns = "id BIGINT, destination STRING"
+    schemas = [{"from": 0, "columns": columns}]
+    if start is not None:
+        schemas.append({"from": start, "columns": f"{columns}, new_field STRING"})
+    spec = with_paths(JOBS["stream-table"], f"{root}/log", f"{root}/out", f"{root}/checkpoints", True, True)
+    spec["source"] |= {"tables": [f"{derived.DATABASE}.outbox_events"], "schemas": {"outbox_events": schemas}}
+    run_pipeline(spark, spec).awaitTermination()
+    found = read_upsert(spark, FileTarget(f"{root}/out"), "shop.stream.table-api.outbox_events")
+    kinds = "id BIGINT, destination STRING, new_field STRING, job_variant STRING"
+    rows = found.withColumn("row", F.from_json("value", kinds))
+    has = F.array_contains(F.json_object_keys("value"), "new_field").alias("has_new_field")
+    return rows.select("row.id", "row.destination", has, "row.new_field", "row.job_variant")
+
+
 __all__ = ["JOBS"]

@@ -9,6 +9,7 @@ from changeflow.operators.monitor import (
     CHECKPOINT_DURATION,
     CHECKPOINT_FAILURES,
     RESTART_LOOP,
+    SKETCH_ERROR,
     AlertRule,
     alert,
     alert_state,
@@ -18,9 +19,11 @@ from changeflow.operators.monitor import (
     job_health,
     metric_latest,
     metric_series,
+    metric_sketches,
     offset_lag,
     rule_values,
     silence,
+    sketch_quantiles,
     source_lag,
 )
 from changeflow.plans.expected import with_inputs
@@ -236,3 +239,32 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return checkpoint_summary(_metrics(spark, folder))
+
+
+RANKS = (0.05, 0.5, 0.95)
+
+
+@query(
+    "metric_quantiles",
+    with_inputs(
+        "f_met",
+        select="""SELECT job_name, time_bucket(INTERVAL 1 DAY, ts) AS day, CAST(count(*) AS BIGINT) AS samples, r.rank, TRUE AS within_error
+            FROM f_met, (SELECT unnest([0.05::DOUBLE, 0.5, 0.95]) AS rank) r GROUP BY ALL""",
+    ),
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Quantiles of a day out of hourly sketches, and whether their exact rank is within the error of the sketch."""
+    metrics, metric = _metrics(spark, folder), "last_checkpoint_duration"
+    hourly = metric_sketches(metrics, metric).withColumn("day", F.date_trunc("day", "span_start").cast("timestamp_ntz"))
+    daily = sketch_quantiles(hourly, ["job_name", "day"], list(RANKS))
+    values = F.arrays_zip(F.array(*[F.lit(r) for r in RANKS]).alias("rank"), F.col("quantiles").alias("value"))
+    asked = daily.select("job_name", "day", "samples", F.inline(values))
+    placed = metrics.withColumn("day", F.date_trunc("day", "ts").cast("timestamp_ntz")).join(asked, ["job_name", "day"])
+    # The exact rank of a value is the share of samples below it, up to the share of those that are not above it.
+    ranked = placed.groupBy("job_name", "day", "samples", "rank").agg(
+        F.avg((F.col(metric) < F.col("value")).cast("int")).alias("low"), F.avg((F.col(metric) <= F.col("value")).cast("int")).alias("high")
+    )
+    # One sample more or less is a rounding of the rank.
+    error = F.lit(SKETCH_ERROR) + 1 / F.col("samples")
+    within = F.col("rank").between(F.col("low") - error, F.col("high") + error)
+    return ranked.select("job_name", "day", "samples", "rank", within.alias("within_error"))
