@@ -44,7 +44,8 @@ def read_changelog(
     """
     reader = (spark.readStream if streaming else spark.read).format(fmt).options(**(options or {}))
     if fmt == "kafka":
-        raw = reader.option("subscribe", path_or_topic).option("startingOffsets", "earliest").load()
+        reader = reader.option("subscribe", path_or_topic).option("startingOffsets", "earliest")
+        raw = reader.option("includeHeaders", "true").load()
         df = raw.select(
             "topic",
             "partition",
@@ -52,6 +53,7 @@ def read_changelog(
             F.col("key").cast("string").alias("key"),
             F.col("value").cast("string").alias("value"),
             "timestamp",
+            "headers",
         )
     elif fmt == "text":
         df = reader.load(path_or_topic).select("value")

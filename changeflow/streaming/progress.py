@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
@@ -45,10 +45,12 @@ class ProgressMetrics(StreamingQueryListener):
         if event.exception:
             name = self._names.get(str(event.runId), str(event.id))
             self._failed[name] = self._failed.get(name, 0) + 1
+            # A query that fails for good makes no progress any more; the failure itself is a sample.
+            self._add(name, datetime.now(UTC), 0)
 
     def _add(self, name: str, at: datetime, duration: int) -> None:
         restarts = self._starts.get(name, 1) - 1
-        self._samples.append((name, at, restarts, self._failed.get(name, 0), self._completed[name], duration))
+        self._samples.append((name, at, restarts, self._failed.get(name, 0), self._completed.get(name, 0), duration))
 
     def drain(self, spark: SparkSession) -> DataFrame:
         """The samples since the last call: one per commit, so a handful per query and minute."""

@@ -21,6 +21,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from changeflow.operators.changelog import compact
 from changeflow.operators.envelope import to_upsert_record
+from changeflow.streaming.delivery import with_headers
 from changeflow.streaming.versioned import VersionedState
 
 # Fixed value: seconds between two commits of a job.
@@ -99,7 +100,8 @@ Target = FileTarget | KafkaTarget
 def _start(records: DataFrame, target: Target, options: StreamOptions) -> StreamingQuery:
     writer = options.apply(records.writeStream.outputMode("append"))
     if isinstance(target, KafkaTarget):
-        wire = [c for c in ("topic", "key", "value") if c in records.columns]
+        records = with_headers(records) if "offset" in records.columns else records
+        wire = [c for c in ("topic", "key", "value", "headers") if c in records.columns]
         kafka = records.select(*wire).writeStream.outputMode("append").format("kafka")
         return options.apply(kafka.option("kafka.bootstrap.servers", target.servers)).start()
     folder = target.enter(records.sparkSession, options.query_name)
@@ -137,7 +139,7 @@ def write_keyed(records: DataFrame, topics: list[str], target: Target, options:
     def write(batch: DataFrame, batch_id: int) -> None:
         if isinstance(target, KafkaTarget):
             last = compact(batch.select("topic", "offset", "key", "value"), ["topic", "key"], "offset")
-            kafka = last.select("topic", "key", "value").write.format("kafka")
+            kafka = with_headers(last).select("topic", "key", "value", "headers").write.format("kafka")
             kafka.option("kafka.bootstrap.servers", target.servers).save()
             return
         if len(topics) > 1:

@@ -21,6 +21,7 @@ from changeflow.operators.route import route_outbox
 from changeflow.session import work_dir
 from changeflow.sources import derived
 from changeflow.streaming.alerts import alert_live, alert_transitions_live
+from changeflow.streaming.delivery import from_headers, newer_only, with_headers
 from changeflow.streaming.live import (
     counter_growth_live,
     lifecycle_live,
@@ -420,6 +421,47 @@ def test_parity_of_two_streams(spark):
         parity_live(*sides, "id", ["v"], "ts", "1 minute")
 
 
+def test_shuffled_and_repeated_delivery_folds_to_the_state(spark):
+    draw = random.Random(6)
+    log = [(f"k{draw.randrange(8)}", p, None if draw.random() < 0.2 else f"v{p}") for p in range(60)]
+    sent = with_headers(spark.createDataFrame(log, "key STRING, offset BIGINT, value STRING"), table=F.lit("shop.t"))
+    wire = [tuple(r) for r in sent.select("key", "value", "headers").collect()]
+    delivered = wire + draw.sample(wire, 30)
+    draw.shuffle(delivered)
+    path, schema = work_dir(spark, "wire"), "key STRING, value STRING, headers array<struct<key: string, value: binary>>"
+    for k in range(0, 90, 18):
+        spark.createDataFrame(delivered[k : k + 18], schema).coalesce(1).write.mode("append").parquet(path)
+    read = from_headers(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path))
+    assert {r[0] for r in from_headers(spark.read.parquet(path)).select("source_table").collect()} == {"shop.t"}
+    got = live(spark, newer_only(read), "newer")
+    # What a consumer applies one after the other: positions of a key rise, and the last one is the state.
+    applied = {}
+    for g in got:
+        applied.setdefault(g["key"], []).append((g["position"], g.get("value")))
+    want = {key: (pos, value) for key, pos, value in log}
+    assert {key: max(rows) for key, rows in applied.items()} == want
+    assert all(len({p for p, _ in rows}) == len(rows) for rows in applied.values()) and len(got) < 60
+    bare = spark.createDataFrame([("k", "v", None), ("k", "v", []), ("k", "v", [("position", b"x")])], schema)
+    assert [r.position for r in from_headers(bare).collect()] == [None, None, None]
+    with pytest.raises(ValueError, match="takes a stream"):
+        newer_only(from_headers(bare))
+
+
+def test_a_query_that_fails_for_good_leaves_a_sample(spark, chunks):
+    metrics = ProgressMetrics()
+    spark.streams.addListener(metrics)
+    try:
+        target, options = unit(spark, "broken")
+        broken = stream(spark, chunks).select(F.expr("CAST(raise_error('lost') AS STRING)").alias("value"))
+        with pytest.raises(Exception, match="lost"):
+            write_append(broken, "t", target, options).awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(metrics)
+    rows = metrics.drain(spark).where("job_name = 't-broken'").collect()
+    assert [(r.num_failed_checkpoints, r.num_completed_checkpoints) for r in rows] == [(1, 0)]
+
+
 def test_progress_becomes_samples(spark, chunks):
     metrics = ProgressMetrics()
     spark.streams.addListener(metrics)
