@@ -333,6 +333,7 @@ def test_odd_documents(spark, name):
 
 def test_odd_pages(spark):
     rows = [(1, None, None), (None, "http://a.b/c", "<p>x"), (2, "http://a.b/c", ""), (2, "http://a.b/c", ""), (3, "x", "<" * 5000)]
+    rows += [(4, "x", open_tag * 200_000) for open_tag in ("<a ", "<script ", "<!", '<a "')]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit(1)).withColumn("text", F.lit("t"))
     assert extract.extract(pages).count() == len(rows) and extract.extract(empty(pages)).count() == 0
     rules = spark.createDataFrame(list(queries.URL_RULES), "host string, path string, verdict string")
