@@ -14,6 +14,7 @@ from changeflow.operators.audit import (
     null_report,
     order_violations,
     parity,
+    parity_digest,
     parity_hash,
     parity_outbox,
     routing_report,
@@ -40,6 +41,7 @@ from changeflow.operators.envelope import (
     to_envelope,
     to_upsert_record,
 )
+from changeflow.operators.history import SchemaHistory, observed_fields
 from changeflow.operators.monitor import (
     AlertRule,
     alert,
@@ -51,8 +53,10 @@ from changeflow.operators.monitor import (
     job_health,
     metric_latest,
     metric_series,
+    metric_sketches,
     offset_lag,
     silence,
+    sketch_quantiles,
     source_lag,
 )
 from changeflow.operators.route import (
@@ -69,6 +73,7 @@ from changeflow.operators.route import (
 __all__ = [
     "AlertRule",
     "Contract",
+    "SchemaHistory",
     "add_routing",
     "alert",
     "alert_state",
@@ -101,12 +106,15 @@ __all__ = [
     "malformed_report",
     "metric_latest",
     "metric_series",
+    "metric_sketches",
     "null_report",
+    "observed_fields",
     "offset_lag",
     "op_image",
     "order_violations",
     "ordered",
     "parity",
+    "parity_digest",
     "parity_hash",
     "parity_outbox",
     "parse_envelope",
@@ -118,6 +126,7 @@ __all__ = [
     "routing_report",
     "silence",
     "sink_completeness",
+    "sketch_quantiles",
     "source_lag",
     "state_as_of",
     "table_of",

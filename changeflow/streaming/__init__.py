@@ -1,6 +1,17 @@
-"""Streaming sinks, live state and progress metrics."""
+"""Streaming sinks, versioned upsert state, live state, alerts, parity, delivery and progress metrics."""
 
-from changeflow.streaming.live import counter_growth_live, lifecycle_live, read_state, silence_live, write_state
+from changeflow.streaming.alerts import alert_live, alert_transitions_live
+from changeflow.streaming.delivery import from_headers, newer_only, with_headers
+from changeflow.streaming.live import (
+    counter_growth_live,
+    counter_segments,
+    lifecycle_live,
+    lifecycle_ordered,
+    read_state,
+    silence_live,
+    write_state,
+)
+from changeflow.streaming.parity import parity_live, parity_outbox_live
 from changeflow.streaming.progress import ProgressMetrics
 from changeflow.streaming.sinks import (
     FileTarget,
@@ -13,9 +24,11 @@ from changeflow.streaming.sinks import (
     resume,
     run_statement_set,
     write_append,
+    write_keyed,
     write_routed,
     write_upsert,
 )
+from changeflow.streaming.versioned import VersionedState
 
 __all__ = [
     "FileTarget",
@@ -23,8 +36,17 @@ __all__ = [
     "ProgressMetrics",
     "Statement",
     "StreamOptions",
+    "VersionedState",
+    "alert_live",
+    "alert_transitions_live",
     "counter_growth_live",
+    "counter_segments",
+    "from_headers",
     "lifecycle_live",
+    "lifecycle_ordered",
+    "newer_only",
+    "parity_live",
+    "parity_outbox_live",
     "read_committed",
     "read_state",
     "read_topic",
@@ -32,7 +54,9 @@ __all__ = [
     "resume",
     "run_statement_set",
     "silence_live",
+    "with_headers",
     "write_append",
+    "write_keyed",
     "write_routed",
     "write_state",
     "write_upsert",
