@@ -5,7 +5,7 @@ are shuffled once by (keys, chunk), and the last row of each key and chunk carri
 holds a third of all rows is spread over as many tasks as it has chunks. The plan is the same for every size and does
 not count anything first.
 
-The last rows are taken with all their columns from the rows as they were shuffled, so both sides of the join read one exchange.
+What is carried is taken from the rows as they were shuffled, so what is joined or united with them reads the same exchange.
 
 Keys may be null; null is a key like any other. ``order`` is unique in each key and not null; ``chunk`` is a whole number
 that does not fall as ``order`` rises.
@@ -56,15 +56,21 @@ def previous_in_key(
 ) -> DataFrame:
     """Add ``<prefix><value>``: each value in the row before this one in its key, null in the first row."""
     rows, by = _shuffled(df, keys, chunk)
-    tail = F.struct(*[F.col("_last")[value].alias(value) for value in values])
-    last = _last_rows(rows, by, order).select(*by, tail.alias("_tail"))
-    carry = last.select(*by, F.lag("_tail").over(_over_chunks(by)).alias("_carried"))
-    near = rows.withColumn("_near", F.lag(F.struct(*values)).over(_in_chunk(by, order)))
-    previous = F.coalesce("_near", "_carried")
-    return near.join(carry, by, "left").select(
-        *df.columns, *[previous[value].alias(prefix + value) for value in values]
+    given = F.struct(*[F.col(value).alias(value) for value in values])
+    near = rows.withColumns(
+        {"_near": F.lag(given).over(_in_chunk(by, order)), "_ends": F.lead(F.lit(True)).over(_in_chunk(by, order)).isNull()}
     )
 
+    def out(frame: DataFrame, previous: str) -> DataFrame:
+        return frame.select(*df.columns, *[F.col(previous)[value].alias(prefix + value) for value in values])
+
+    # Rows with one before them in their chunk are done; first rows look for the last row of an earlier chunk of their key. Both read
+    # one exchange, and only first and last rows are dealt again.
+    edges = near.where(F.col("_near").isNull() | F.col("_ends"))
+    over_key = Window.partitionBy(*by[:-1]).orderBy("_chunk", order)
+    edges = edges.withColumn("_carried", F.lag(given).over(over_key))
+    return out(near.where(F.col("_near").isNotNull()), "_near").unionAll(out(edges.where(F.col("_near").isNull()), "_carried"))
+
 
 def number_in_key(df: DataFrame, keys: list[str], order: str, chunk: Column, name: str = "seq") -> DataFrame:
     """Add ``name``: 1 for the first row of each key in ``order``, and so on without gaps."""
