@@ -46,6 +46,34 @@ LETTERS = regex.compile(r"\p{L}+")
 SAFE = re.compile("[\x00-\x7f\xa0-\u024f\u0400-\u045f\u2010-\u2027\u20ac]*")
 
 
+class Pieces(dict):
+    """Ids of pieces as little-endian 32-bit integers, found when a piece is first asked for."""
+
+    def __init__(self, tokenizer) -> None:
+        self.tokenizer, self.merges = tokenizer, tokenizer.model
+        self.before: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.before.get(piece)
+        if ids is None:
+            ids = self.ids_of(piece)
+        self[piece] = ids
+        return ids
+
+    def ids_of(self, piece: str) -> bytes:
+        """A run of letters goes straight to the merges, in the alphabet of its bytes; nothing else would change or cut it."""
+        if not LETTERS.fullmatch(piece):
+            return array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+        if not piece.isascii():
+            ((piece, _),) = self.tokenizer.pre_tokenizer.pre_tokenize_str(piece)
+        return array("I", [t.id for t in self.merges.tokenize(piece)]).tobytes()
+
+    def turn_over(self) -> None:
+        """Keep what has been met since the last time for one more turn, so frequent pieces are not learnt again."""
+        self.before = dict(self)
+        self.clear()
+
+
 class WordTokenizer:
     """Ids of a text as little-endian 32-bit integers, piece by piece, remembering pieces; equal to encoding the whole text.
 
@@ -57,9 +85,7 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.merges = self.tokenizer.model
-        self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+        self.known = Pieces(self.tokenizer)
 
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -71,28 +97,10 @@ class WordTokenizer:
             pieces = ASCII_PIECE.findall(text.lower())
         else:
             pieces = PIECE.findall(unicodedata.normalize("NFC", text).lower())
-        try:
-            return b"".join(map(self.known.__getitem__, pieces))
-        except KeyError:
-            self.learn(set(pieces))
-            return b"".join(map(self.known.__getitem__, pieces))
-
-    def learn(self, pieces: set[str]) -> None:
-        new = [x for x in pieces if x not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            # What has been met since the last time is kept for one more turn, so frequent pieces are not learnt again.
-            self.before, self.known, new = self.known, {}, list(pieces)
-        for piece in new:
-            ids = self.before.get(piece)
-            self.known[piece] = self.ids_of(piece) if ids is None else ids
-
-    def ids_of(self, piece: str) -> bytes:
-        """A run of letters goes straight to the merges, in the alphabet of its bytes; nothing else would change or cut it."""
-        if not LETTERS.fullmatch(piece):
-            return self.encode(piece)
-        if not piece.isascii():
-            ((piece, _),) = self.tokenizer.pre_tokenizer.pre_tokenize_str(piece)
-        return array("I", [t.id for t in self.merges.tokenize(piece)]).tobytes()
+        ids = b"".join(map(self.known.__getitem__, pieces))
+        if len(self.known) > REMEMBERED:
+            self.known.turn_over()
+        return ids
 
 
 @functools.cache
