@@ -75,69 +75,23 @@ class _Judge:
 
 
 class _Lifecycle(StatefulProcessor):
+    def __init__(self, once: bool = False) -> None:
+        self.once = once  # one change stands for all of its position
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "pos LONG, op STRING")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         # The changes of one key in one batch; the source limits what a batch admits.
         judge = _Judge(self.last.get() if self.last.exists() else (None, None))
-        yield from judge(key[0], sorted((row["pos"], row["op"]) for row in rows))
+        changes = sorted((row["pos"], row["op"]) for row in rows)
+        yield from judge(key[0], list(dict(changes).items()) if self.once else changes)
         self.last.update((judge.pos, judge.op))
 
     def close(self) -> None:
         pass
 
 
-class _OrderedLifecycle(StatefulProcessor):
-    """Holds the changes of a key until the watermark has passed them, then judges them in their order."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", "pos LONG, op STRING")
-        self.timer = handle.getValueState("timer", "ms LONG")
-        self.waiting = handle.getMapState("waiting", "pos LONG", "ms LONG, op STRING")
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        first = None
-        for row in rows:
-            if row["op"] is not None:
-                self.waiting.updateValue((row["pos"],), (row["ms"], row["op"]))
-                first = row["ms"] if first is None else min(first, row["ms"])
-        if first is not None:
-            self._wait_for(first)
-        yield from ()
-
-    def _wait_for(self, ms: int) -> None:
-        """One timer a key, for the earliest change that waits."""
-        if self.timer.exists():
-            if self.timer.get()[0] <= ms:
-                return
-            self.handle.deleteTimer(self.timer.get()[0])
-        self.handle.registerTimer(ms)
-        self.timer.update((ms,))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        until = timerValues.getCurrentWatermarkInMs()
-        due, later = [], None
-        for (pos,), (ms, op) in list(self.waiting.iterator()):
-            if ms <= until:
-                due.append((pos, op))
-            else:
-                later = ms if later is None else min(later, ms)
-        judge = _Judge(self.last.get() if self.last.exists() else (None, None))
-        yield from judge(key[0], sorted(due))
-        if due:
-            self.last.update((judge.pos, judge.op))
-        for pos, _ in due:
-            self.waiting.removeKey((pos,))
-        self.timer.clear()
-        if later is not None:
-            self._wait_for(later)
-
-    def close(self) -> None:
-        pass
-
-
 def lifecycle_live(changes: DataFrame, key: str, pos: str = "pos", op: str = "op") -> DataFrame:
     """Changes of a stream that do not fit the one before them in their key: ``id, pos, prev_op, op, late``.
 
@@ -152,20 +106,25 @@ def lifecycle_live(changes: DataFrame, key: str, pos: str = "pos", op: str = "op
     )
 
 
-def lifecycle_ordered(changes: DataFrame, key: str, ts: str, delay: str, pos: str = "pos", op: str = "op") -> DataFrame:
+def lifecycle_ordered(
+    changes: DataFrame, key: str, ts: str, delay: str, pos: str = "pos", op: str = "op", bin_seconds: int = 60
+) -> DataFrame:
     """Changes that do not fit the one before them in their key, in the order of the log: ``id, pos, prev_op, op, late``.
 
-    Changes may come out of order by up to ``delay`` of event time: those of a key wait, in state that spills to disk, until the
-    watermark has passed them, and are judged by position. Later ones are dropped by the watermark. A row without an op is a
-    heartbeat that only moves the watermark, so the end of a stream is judged too. ``ts`` does not fall as ``pos`` rises in a key.
+    Changes may come out of order by up to ``delay`` of event time. Those of a key and bin of ``bin_seconds`` wait in an aggregate
+    until the watermark has passed the bin; a bin comes out after all before it, so a key keeps its last change alone. Later
+    changes are dropped by the watermark, and one change stands for all of its position. A row without an op is a heartbeat that
+    only moves the watermark, so the end of a stream is judged too. ``ts`` does not fall as ``pos`` rises in a key.
     """
     if not changes.isStreaming:
         raise ValueError("lifecycle_ordered takes a stream; lifecycle_violations takes a batch")
     rows = changes.select(
         F.col(key).cast("bigint").alias("id"), F.col(pos).alias("pos"), F.col(op).alias("op"), F.col(ts).cast("timestamp").alias("_ts")
     ).withWatermark("_ts", delay)
-    return rows.withColumn("ms", _millis(F.col("_ts"))).groupBy("id").transformWithState(
-        statefulProcessor=_OrderedLifecycle(), outputStructType=_FOUND, outputMode="Append", timeMode="EventTime"
+    known = F.when(F.col("op").isNotNull(), F.struct("pos", "op"))
+    binned = rows.groupBy("id", F.window("_ts", f"{bin_seconds} seconds")).agg(F.collect_set(known).alias("changes"))
+    return binned.select("id", F.inline("changes")).groupBy("id").transformWithState(
+        statefulProcessor=_Lifecycle(once=True), outputStructType=_FOUND, outputMode="Append", timeMode="None"
     )
 
 

@@ -300,6 +300,23 @@ def test_lifecycle_drops_what_comes_after_the_watermark(spark):
     assert got == [(3, 500, None, "d", False)]
 
 
+def python_state(spark, df, name):
+    """Run a stream to its end; what its states in Python report after each batch."""
+    target, options = unit(spark, name)
+    query = write_append(df.select(F.to_json(F.struct("*")).alias("value")), name, target, options)
+    query.awaitTermination()
+    states = [s for p in query.recentProgress for s in p["stateOperators"] if s["operatorName"].startswith("transformWithState")]
+    assert states
+    return states
+
+
+def test_changes_that_wait_are_no_state_of_their_key(spark):
+    changes = [(k % 2, k, "u") for k in range(0, 60)]
+    flow = ops_stream(spark, "waiting-ops", [changes[40:], changes[:40], [BEAT]])
+    states = python_state(spark, lifecycle_ordered(flow, "id", "ts", "1 minute"), "waiting-ops")
+    assert max(s["numRowsTotal"] for s in states) == 2
+
+
 def test_a_topic_without_records(spark):
     flow = ops_stream(spark, "legal", [[(1, 1, "c"), (1, 2, "u")], [BEAT]])
     with pytest.raises(ValueError, match="no job has committed"):
