@@ -7,8 +7,8 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
-from datetime import UTC, datetime
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -200,71 +200,54 @@ def silence_live(events: DataFrame, job: str, ts: str, delay: str = "1 minute",
     )
 
 
-class _Segment(StatefulProcessor):
-    """The samples of one job and bin, as one segment once the watermark has passed the bin."""
-
-    def __init__(self, bin_ms: int) -> None:
-        self.bin_ms = bin_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.samples = handle.getMapState("samples", "us LONG", "value LONG")
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        for row in rows:
-            if row["value"] is not None:
-                self.samples.updateValue((row["us"],), (row["value"],))
-        self.handle.registerTimer(key[1] + self.bin_ms)
-        yield from ()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        values = [value for _, (value,) in sorted(self.samples.iterator())]
-        self.samples.clear()
-        if values:
-            grown = sum(_step(a, b) for a, b in zip(values, values[1:]))
-            yield Row(job_name=key[0], bin=key[1], at=_time(key[1] + self.bin_ms), first=values[0], last=values[-1], growth=grown)
-
-    def close(self) -> None:
-        pass
-
-
-def _time(ms: int) -> datetime:
-    return datetime.fromtimestamp(ms / 1000, UTC)
-
-
-def _step(before: int, value: int) -> int:
+def _step(before: Column, value: Column) -> Column:
     """Growth from one value of a counter to the next; a smaller one is a reset and counts whole."""
-    return value if value < before else value - before
+    return F.when(value < before, value).otherwise(value - before)
 
 
 class _Minutes(StatefulProcessor):
-    """Joins the segments of a job in their order: the growth between two segments belongs to the minute of the later one."""
+    """Joins the segments of a job in their order: the growth between two segments belongs to the minute of the later one.
+
+    A segment comes out after all before it, so a job keeps its last value and the minute that is not over.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.last = handle.getValueState("last", "value LONG")
         self.minute = handle.getValueState("minute", "minute LONG, growth LONG")
-        self.waiting = handle.getMapState("waiting", "bin LONG", "first LONG, last LONG, growth LONG")
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        for row in rows:
-            self.waiting.updateValue((row["bin"],), (row["first"], row["last"], row["growth"]))
-            minute = row["bin"] // MINUTE_MS * MINUTE_MS
-            self.handle.registerTimer(minute + MINUTE_MS)
-        yield from ()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        end = expiredTimerInfo.getExpiryTimeInMs()
-        due = sorted((bin_, part) for (bin_,), part in list(self.waiting.iterator()) if bin_ < end)
-        if not due:
-            return
-        before, growth = self.last.get()[0] if self.last.exists() else None, 0
-        for bin_, (first, last, inside) in due:
-            growth += inside + (0 if before is None else _step(before, first))
-            before = last
-            self.waiting.removeKey((bin_,))
-        self.last.update((before,))
-        yield Row(job_name=key[0], minute_ms=end - MINUTE_MS, at=_time(end), growth=growth)
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        parts = pd.concat(list(rows)).sort_values("bin")
+        first, last = parts["first"].to_numpy("int64"), parts["last"].to_numpy("int64")
+        before = np.concatenate([[self.last.get()[0] if self.last.exists() else first[0]], last[:-1]])
+        grown = parts["growth"].to_numpy("int64") + np.where(first < before, first, first - before)
+        minutes, starts = np.unique(parts["bin"].to_numpy("int64") // MINUTE_MS * MINUTE_MS, return_index=True)
+        grown = np.add.reduceat(grown, starts)
+        self.last.update((int(last[-1]),))
+        if self.minute.exists():
+            held, growth = self.minute.get()
+            self.minute.clear()
+            self.handle.deleteTimer(held + MINUTE_MS)
+            if held == minutes[0]:
+                grown[0] += growth
+            else:
+                minutes, grown = np.concatenate([[held], minutes]), np.concatenate([[growth], grown])
+        if minutes[-1] + MINUTE_MS > timerValues.getCurrentWatermarkInMs():
+            self.minute.update((int(minutes[-1]), int(grown[-1])))
+            self.handle.registerTimer(int(minutes[-1]) + MINUTE_MS)
+            minutes, grown = minutes[:-1], grown[:-1]
+        if len(minutes):
+            yield self._found(key, minutes, grown)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.minute.exists():
+            minute, growth = self.minute.get()
+            self.minute.clear()
+            yield self._found(key, np.array([minute]), np.array([growth]))
+
+    @staticmethod
+    def _found(key, minutes: np.ndarray, grown: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({"job_name": pd.Series([key[0]] * len(minutes), dtype=object), "minute_ms": minutes, "growth": grown})
 
     def close(self) -> None:
         pass
@@ -273,21 +256,26 @@ class _Minutes(StatefulProcessor):
 def counter_segments(samples: DataFrame, metric: str, ts: str = "ts", delay: str = "1 minute", bin_seconds: int = 10) -> DataFrame:
     """Segments of a counter on a stream, one for each job and bin: ``job_name, bin, at, first, last, growth``.
 
-    A segment is what two neighbours need to be joined: first and last value, and the growth inside. Bins of a job are worked on
-    apart, so a job with a third of all samples is spread over as many keys as it has bins. A sample without a value is a
-    heartbeat that only moves the watermark.
+    A segment is what two neighbours need to be joined: first and last value, and the growth inside. Samples of a job and bin wait in
+    an aggregate until the watermark has passed the bin, so a job with a third of all samples is spread over as many keys as it has
+    bins. Of samples at one instant the largest stands. A sample without a value is a heartbeat that only moves the watermark.
     """
-    bin_ms = bin_seconds * 1000
     rows = samples.select(
         "job_name", F.col(ts).cast("timestamp").alias("_ts"), F.col(metric).cast("bigint").alias("value")
     ).withWatermark("_ts", delay)
-    binned = rows.select("job_name", (F.expr(f"unix_millis(_ts) div {bin_ms}") * bin_ms).alias("bin"), F.unix_micros("_ts").alias("us"), "value", "_ts")
-    return binned.groupBy("job_name", "bin").transformWithState(
-        statefulProcessor=_Segment(bin_ms),
-        outputStructType="job_name STRING, bin BIGINT, at TIMESTAMP, first BIGINT, last BIGINT, growth BIGINT",
-        outputMode="Append",
-        timeMode="EventTime",
-        eventTimeColumnName="at",
+    known = F.when(F.col("value").isNotNull(), F.struct(F.unix_micros("_ts").alias("us"), "value"))
+    binned = rows.groupBy("job_name", F.window("_ts", f"{bin_seconds} seconds").alias("_w")).agg(F.array_sort(F.collect_set(known)).alias("_all"))
+    # The last of an instant is the one whose follower has another.
+    stands = F.filter("_all", lambda x, i: F.coalesce(F.get("_all", i + 1)["us"] != x["us"], F.lit(True)))
+    values = binned.withColumn("_v", F.transform(stands, lambda x: x["value"])).where(F.size("_v") > 0)
+    steps = F.zip_with(F.slice("_v", 1, F.size("_v") - 1), F.slice("_v", 2, F.size("_v") - 1), _step)
+    return values.select(
+        "job_name",
+        _millis(F.col("_w")["start"]).alias("bin"),
+        F.col("_w")["end"].alias("at"),
+        F.col("_v")[0].alias("first"),
+        F.element_at("_v", -1).alias("last"),
+        F.aggregate(steps, F.lit(0).cast("bigint"), lambda a, b: a + b).alias("growth"),
     )
 
 
@@ -302,12 +290,11 @@ def counter_growth_live(samples: DataFrame, metric: str, ts: str = "ts", delay:
 
 
 def growth_minutes(samples: DataFrame, metric: str, ts: str, delay: str, bin_seconds: int) -> DataFrame:
-    """``counter_growth_live`` with what the next operator on a stream needs: the minute in milliseconds, and its end as event time."""
-    segments = counter_segments(samples, metric, ts, delay, bin_seconds)
-    return segments.groupBy("job_name").transformWithState(
+    """``counter_growth_live`` with what the next operator on a stream needs: ``job_name, minute_ms, growth``."""
+    segments = counter_segments(samples, metric, ts, delay, bin_seconds).select("job_name", "bin", "first", "last", "growth")
+    return segments.groupBy("job_name").transformWithStateInPandas(
         statefulProcessor=_Minutes(),
-        outputStructType="job_name STRING, minute_ms BIGINT, at TIMESTAMP, growth BIGINT",
+        outputStructType="job_name STRING, minute_ms BIGINT, growth BIGINT",
         outputMode="Append",
         timeMode="EventTime",
-        eventTimeColumnName="at",
     )

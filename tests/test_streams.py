@@ -340,6 +340,13 @@ def test_counter_segments_join_across_bins_and_batches(spark):
     assert ("a", "00:00", 2) in {(g["job_name"], g["minute"][11:16], g["growth"]) for g in got}
 
 
+def test_minutes_of_a_job_share_a_timer(spark):
+    batches = [[("a", m, m * m) for m in range(60)], [(None, 500, None)]]
+    flow, _ = minute_stream(spark, "timers", batches)
+    states = python_state(spark, counter_growth_live(flow.withColumnRenamed("job", "job_name"), "v"), "timers")
+    assert sum(s["customMetrics"]["numRegisteredTimers"] for s in states) <= len(batches)
+
+
 def minute_stream(spark, name, batches):
     """Files of (job, minute, value), read one file per batch in the order they were written."""
     path = work_dir(spark, name)
