@@ -2,16 +2,20 @@
 
 What a rule looks at is reduced to one row per job and minute first. The machine of a job holds the minutes of the rule's window and
 since when a breach lasts, and is evaluated at the end of each minute that the watermark has passed, so the order in which
-samples come does not matter. The states are those of the batch form, ``operators.monitor.alert``.
+samples come does not matter: minutes come out after all before them, and a batch of them is worked off in one pass. The states are those of the batch form, ``operators.monitor.alert``.
 """
 
 from __future__ import annotations
 
+import heapq
 import sys
+from collections import deque
 from collections.abc import Iterator
+from itertools import chain
 
+import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -22,10 +26,12 @@ from changeflow.streaming.live import MINUTE_MS, growth_minutes
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 OK, PENDING, FIRING = "ok", "pending", "firing"
+# Rows that a job hands out at once.
+ROWS = 10_000
 
 
 class _Alert(StatefulProcessor):
-    """Rows (minute_ms: start of a minute, value) of a job to rows (minute_ms: when evaluated, value, state).
+    """Rows (minute_ms: start of a minute, value, known) of a job to rows (minute_ms: when evaluated, value, state).
 
     ``minutes`` is how many minutes a window sums up, 1 for a gauge.
     """
@@ -35,46 +41,88 @@ class _Alert(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.values = handle.getMapState("values", "minute LONG", "value LONG")
+        self.values = handle.getMapState("values", "minute LONG", "value LONG")  # the end of the log alone
         self.last = handle.getValueState("last", "at LONG, since LONG, state STRING")
+        self.timer = handle.getValueState("timer", "ms LONG")
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        for row in rows:
-            if key[0] is None:
-                continue  # a heartbeat
-            self.values.updateValue((row["minute_ms"],), (row["value"],))
-            for k in range(1, self.minutes + 1):
-                self.handle.registerTimer(row["minute_ms"] + k * MINUTE_MS)
-            # One more, at which a job without data is ok again.
-            self.handle.registerTimer(row["minute_ms"] + (self.minutes + 1) * MINUTE_MS)
-        yield from ()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        until = timerValues.getCurrentWatermarkInMs()
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        parts = pd.concat(list(rows))
+        if key[0] is not None:  # else a heartbeat
+            yield from self._move(key, parts, timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._move(key, None, timerValues.getCurrentWatermarkInMs())
+
+    def _move(self, key, parts: pd.DataFrame | None, until: int) -> Iterator[pd.DataFrame]:
+        """Evaluate all that the watermark has passed, in one pass over the minutes that are new."""
         held = {minute: value for (minute,), (value,) in list(self.values.iterator())}
+        rows = sorted(held.items())
+        if parts is not None:
+            parts = parts.sort_values("minute_ms")
+            new = zip(parts["minute_ms"].array, parts["value"].array, parts["known"].array)
+            rows = heapq.merge(rows, ((int(m), int(v) if known else None) for m, v, known in new), key=lambda row: row[0])
         at, since, state = self.last.get() if self.last.exists() else (None, None, OK)
-        due = {minute + k * MINUTE_MS for minute in held for k in range(1, self.minutes + 2)}
-        for now in sorted(t for t in due if t <= until and (at is None or t > at)):
-            inside = [held[m] for m in range(now - self.minutes * MINUTE_MS, now, MINUTE_MS) if m in held]
-            before, state = state, OK
-            known = [v for v in inside if v is not None]
-            value = sum(known) if known else None
-            if value is not None and value > self.above:
-                since = now if since is None or at != now - MINUTE_MS else since
-                state = FIRING if now >= since + self.hold_ms else PENDING
-            else:
-                since = None
-            at = now
-            if self.transitions:
-                if state != before:
-                    yield Row(job_name=key[0], minute_ms=now, from_state=before, to_state=state)
-            elif inside:
-                yield Row(job_name=key[0], minute_ms=now, value=value, state=state)
+        inside: deque[tuple[int, int | None]] = deque()
+        out = []
+        rows = chain(rows, [None])
+        row = next(rows)
+        while row is not None:
+            inside.append(row)
+            minute, row = row[0], next(rows)
+            for k in range(1, self.minutes + 2):
+                now = minute + k * MINUTE_MS
+                if now > until or row is not None and now > row[0]:
+                    break
+                if at is not None and now <= at:
+                    continue
+                while inside and inside[0][0] < now - self.minutes * MINUTE_MS:
+                    inside.popleft()
+                seen = [v for m, v in inside if m < now]
+                known = [v for v in seen if v is not None]
+                value = sum(known) if known else None
+                before, state = state, OK
+                if value is not None and value > self.above:
+                    since = now if since is None or at != now - MINUTE_MS else since
+                    state = FIRING if now >= since + self.hold_ms else PENDING
+                else:
+                    since = None
+                at = now
+                if self.transitions:
+                    if state != before:
+                        out.append((key[0], now, before, state))
+                elif seen:
+                    out.append((key[0], now, value, state))
+                if len(out) == ROWS:
+                    yield self._found(out)
+                    out = []
+        if out:
+            yield self._found(out)
         if at is not None:
             self.last.update((at, since, state))
-        for minute in held:
-            if minute + (self.minutes + 1) * MINUTE_MS <= until:
-                self.values.removeKey((minute,))
+        kept = {m: v for m, v in inside if m + (self.minutes + 1) * MINUTE_MS > until}
+        for minute in held.keys() - kept.keys():
+            self.values.removeKey((minute,))
+        for minute in kept.keys() - held.keys():
+            self.values.updateValue((minute,), (kept[minute],))
+        self._wait_for(max(min(kept) + MINUTE_MS, until // MINUTE_MS * MINUTE_MS + MINUTE_MS) if kept else None)
+
+    def _found(self, rows: list[tuple]) -> pd.DataFrame:
+        if self.transitions:
+            return pd.DataFrame(rows, columns=["job_name", "minute_ms", "from_state", "to_state"])
+        found = pd.DataFrame(rows, columns=["job_name", "minute_ms", "value", "state"], dtype=object)
+        return found.astype({"minute_ms": "int64", "value": "Int64"})
+
+    def _wait_for(self, ms: int | None) -> None:
+        """One timer a job, for the next minute that is due."""
+        old = self.timer.get()[0] if self.timer.exists() else None
+        if old == ms:
+            return
+        if old is not None:
+            self.handle.deleteTimer(old)
+            self.timer.clear()
+        if ms is not None:
+            self.handle.registerTimer(ms)
+            self.timer.update((ms,))
 
     def close(self) -> None:
         pass
@@ -121,7 +169,9 @@ def _machine(samples: DataFrame, rule: AlertRule, ts: str, delay: str, bin_secon
     if not samples.isStreaming:
         raise ValueError("live alerts take a stream; alert takes a batch")
     minutes, width = _rule_minutes(samples, rule, ts, delay, bin_seconds)
-    return minutes.groupBy("job_name").transformWithState(
+    # A null among numbers would make floats of them.
+    known = minutes.select("job_name", "minute_ms", F.coalesce("value", F.lit(0)).alias("value"), F.col("value").isNotNull().alias("known"))
+    return known.groupBy("job_name").transformWithStateInPandas(
         statefulProcessor=_Alert(width, rule.above, rule.hold_minutes, transitions),
         outputStructType=out,
         outputMode="Append",

@@ -418,6 +418,13 @@ def test_alerts_over_batches(spark, rule):
     assert set(want) <= set(found) and all(to == "ok" for *_, to in set(found) - set(want)) and len(found) - len(want) <= 2
 
 
+def test_alerts_of_a_job_share_a_timer(spark):
+    batches = [[("a", m, m % 7) for m in range(60)], [(None, 500, None)]]
+    flow, _ = minute_stream(spark, "alert-timers", batches)
+    states = python_state(spark, alert_live(flow.withColumnsRenamed({"job": "job_name", "v": GAUGE.metric}), GAUGE), "alert-timers")
+    assert sum(s["customMetrics"]["numRegisteredTimers"] for s in states) <= 2 * len(batches)
+
+
 def test_alerts_take_streams(spark):
     with pytest.raises(ValueError, match="take a stream"):
         alert_live(spark.range(1), GAUGE)
