@@ -309,6 +309,18 @@ def test_extract_without_article():
     assert extract.main_texts(["", "<p", "<article><header><h1>T</h1></header>a<br>b<!-- c --><script>x</script></article>"], [None] * 3) == ["", "<p", "T\na b"]
 
 
+def test_boilerplate_does_not_depend_on_the_parts_of_a_host(spark, monkeypatch):
+    menu = " ".join(f"menu{k}" for k in range(20))
+    rows = [(k, f"http://h.org/{k}", f"<body><div>{menu}</div><p>own{k} text</body>") for k in range(9)]
+    rows += [(20 + k, None if k else "http://i.org/", f"<body>{menu}<p>one of few {k}</body>") for k in range(3)]
+    rows += [(30, "http://h.org/x", f"<article>{menu}</article>{menu}")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    whole = sorted((r["page_id"], r["text"]) for r in extract.extract(pages).collect())
+    assert whole[:9] == [(k, f"own{k} text") for k in range(9)] and whole[-1] == (30, menu)
+    monkeypatch.setattr(extract, "PART_BYTES", 250)
+    assert sorted((r["page_id"], r["text"]) for r in extract.extract(pages).collect()) == whole
+
+
 OPERATORS = {
     "quality": lambda s, d: quality.quality_report(d),
     "keep_good": lambda s, d: quality.keep_good(d),
