@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,6 +44,24 @@ from changeflow.streaming.sinks import (
 )
 
 
+def append_part(rows: DataFrame, by: str, path: str, write: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> None:
+    """Append a part of a log, as ``write`` makes its records of the rows, in a file a core.
+
+    A stretch of a table lies in few of its files; rows are dealt before records are made of them, or few tasks would do it.
+    """
+    write(rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, by)).write.mode("append").parquet(path)
+
+
+def files_a_batch(spark: SparkSession, path: str, parts: int) -> int:
+    """How many files of a log that was written in so many parts a batch takes, so that there are about as many batches as parts.
+
+    A batch costs what its rows and the state cost: it goes over all that waits for the watermark, and calls upon each key
+    once. Were a batch a file, a larger log would have more of them and each would cost more.
+    """
+    files = len(spark.read.schema("value STRING").parquet(path).inputFiles())
+    return max(1, -(-files // parts))
+
+
 def _unit(spark: SparkSession, suffix: str) -> tuple[FileTarget, StreamOptions]:
     root = work_dir(spark, suffix)
     return FileTarget(f"{root}/out"), StreamOptions("shop", suffix, f"{root}/checkpoints", interval=None)
@@ -217,8 +236,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 # --- a log with updates and deletes, in many batches -------------------------------------------------------------------
 
 
-def changing_orders(spark: SparkSession, folder: str, parts: int = 6) -> str:
-    """A written change log of orders and customers whose orders are updated and deleted; returns its folder.
+def changing_orders(spark: SparkSession, folder: str, parts: int = 6) -> tuple[str, int]:
+    """A written change log of orders and customers whose orders are updated and deleted; returns its folder and the files of a batch.
 
     Orders are read at position 0 and customers likewise. Then events change them in the order of their numbers: an error
     deletes the order of the event's user, any other event writes it with the event's value. Files hold stretches of the log, the
@@ -243,18 +262,20 @@ def changing_orders(spark: SparkSession, folder: str, parts: int = 6) -> str:
         source_struct(derived.DATABASE, ORDERS.name, F.lit(0).cast("bigint"), pos).alias("source"),
         F.lit(0).cast("bigint").alias("ts_ms"),
     )
-    texts = to_envelope(changes).select("event_id", "value")
     reads = [derived.order_changes(derived.orders(spark, folder)), derived.customer_changes(derived.customers(spark, folder))]
     for part in reads:
         start = part.withColumn("source", F.col("source").withField("pos", F.lit(0).cast("bigint")))
-        to_envelope(start).select("value").write.mode("append").parquet(path)
+        append_part(start, "id", path, _texts)
     width = last // parts + 1
     for part in range(parts):
         # Halves change places: every second stretch comes before the one it follows.
         at = part + 1 if part % 2 == 0 and part + 1 < parts else part - 1 if part % 2 else part
-        own = texts.where(F.col("event_id").between(at * width, at * width + width - 1))
-        own.select("value").write.mode("append").parquet(path)
-    return path
+        append_part(changes.where(F.col("event_id").between(at * width, at * width + width - 1)), "event_id", path, _texts)
+    return path, files_a_batch(spark, path, len(reads) + parts)
+
+
+def _texts(changes: DataFrame) -> DataFrame:
+    return to_envelope(changes).select("value")
 
 
 #: Orders after all changes: the last event of a user decides, and orders without events are as they were read.
@@ -276,9 +297,10 @@ _CHANGED = """changed AS (
     ),
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    """Two keyed sinks fed by one job from a log with updates and deletes, a few files a batch."""
+    """Two keyed sinks fed by one job from a log with updates and deletes, in several batches."""
     target, options = _unit(spark, "statement-ops")
-    log = spark.readStream.schema("value STRING").option("maxFilesPerTrigger", 4).parquet(changing_orders(spark, folder))
+    path, files = changing_orders(spark, folder)
+    log = spark.readStream.schema("value STRING").option("maxFilesPerTrigger", files).parquet(path)
     records, topics = sql_records(log, STREAM_PREFIX), [f"{STREAM_PREFIX}.sql-api.{spec.name}" for spec in (ORDERS, CUSTOMERS)]
     write_keyed(records, topics, target, options).awaitTermination()
     sinks = []
@@ -294,8 +316,9 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     """The declared keyed job of orders as a stream over a log with updates and deletes."""
     root = work_dir(spark, "declared-upsert")
     job = patterns(derived.DATABASE, STREAM_PREFIX, STREAM_PREFIX)["stream-table"]
-    spec = with_paths(job, changing_orders(spark, folder), f"{root}/out", f"{root}/checkpoints", True)
-    spec["source"]["options"] = {"maxFilesPerTrigger": "4"}
+    path, files = changing_orders(spark, folder)
+    spec = with_paths(job, path, f"{root}/out", f"{root}/checkpoints", True)
+    spec["source"]["options"] = {"maxFilesPerTrigger": str(files)}
     run_pipeline(spark, spec).awaitTermination()
     found = read_upsert(spark, FileTarget(f"{root}/out"), f"{STREAM_PREFIX}.table-api.orders")
     rows = parse_flat(found, "id BIGINT, status STRING, amount DECIMAL(10,2), job_variant STRING")
@@ -367,11 +390,12 @@ def _late_parts(spark: SparkSession, rows: DataFrame, pos: str, ts: str, parts:
     width = (times["last"] or 0) // parts + 1
     for part in range(parts):
         at = part + 1 if part % 2 == 0 and part + 1 < parts else part - 1 if part % 2 else part
-        rows.where(F.col(pos).between(at * width, at * width + width - 1)).write.mode("append").parquet(path)
+        append_part(rows.where(F.col(pos).between(at * width, at * width + width - 1)), pos, path)
+    files = files_a_batch(spark, path, parts)
     delay = high - low + timedelta(minutes=1)
     beat = spark.range(1).select(*[F.lit(high + 3 * delay if f.name == ts else None).cast(f.dataType).alias(f.name) for f in rows.schema.fields])
     beat.write.mode("append").parquet(path)
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
     return stream, f"{int(delay.total_seconds())} seconds"
 
 
@@ -477,9 +501,9 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     path = work_dir(spark, "wire")
     # Dealt to files by hash: the parts of the log come in any order.
     for part in range(3):
-        sent.where(F.pmod(F.xxhash64("offset", "copy"), F.lit(3)) == part).select("key", "value", "headers").write.mode("append").parquet(path)
+        append_part(sent.where(F.pmod(F.xxhash64("offset", "copy"), F.lit(3)) == part), "offset", path, lambda rows: rows.select("key", "value", "headers"))
     schema = f"key STRING, value STRING, headers {HEADERS}"
-    wire = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(path)
+    wire = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_a_batch(spark, path, 3)).parquet(path)
     target, options = _unit(spark, "delivery")
     newer = newer_only(from_headers(wire)).select(F.lit("accounts").alias("topic"), F.col("position").alias("offset"), "key", "value")
     write_keyed(newer, ["accounts"], target, options).awaitTermination()

@@ -18,6 +18,7 @@ from changeflow.operators.monitor import (
     silence,
 )
 from changeflow.operators.route import route_outbox
+from changeflow.plans import queries_stream
 from changeflow.session import work_dir
 from changeflow.sources import derived
 from changeflow.streaming.alerts import alert_live, alert_transitions_live
@@ -507,3 +508,22 @@ def test_progress_becomes_samples(spark, chunks):
     row = job_health(samples).first()
     assert row.completed >= 5 and samples.agg(F.max("last_checkpoint_duration")).first()[0] > 0
     assert metrics.drain(spark).count() == 0
+
+
+def test_batches_do_not_grow_with_the_files_of_a_log(spark, small):
+    # Every batch goes over the state that waits for the watermark.
+    def batches(log):
+        seen = []
+        log.writeStream.trigger(availableNow=True).option("checkpointLocation", work_dir(spark, "count")).foreachBatch(
+            lambda rows, at: seen.append(rows.count())
+        ).start().awaitTermination()
+        return [n for n in seen if n]
+
+    rows = spark.range(400).selectExpr("id", "timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) AS ts").repartition(9)
+    late, _ = queries_stream._late_parts(spark, rows, "id", "ts")
+    found = batches(late)
+    assert sum(found) == 401 and 4 <= len(found) <= 5
+    path, files = queries_stream.changing_orders(spark, small)
+    found = batches(spark.readStream.schema("value STRING").option("maxFilesPerTrigger", files).parquet(path))
+    tables = [spark.read.parquet(f"{small}/{name}.parquet").count() for name in ("orders", "customer", "events")]
+    assert sum(found) == sum(tables) and 2 < len(found) <= 9
