@@ -9,6 +9,8 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -39,6 +41,28 @@ def from_headers(records: DataFrame, into: str = "position", table: str = "sourc
     return records.withColumns({into: header(POSITION).try_cast("bigint"), table: header(SOURCE_TABLE)})
 
 
+#: Rows that a task takes in before it goes over them, besides those it holds.
+HELD = 100_000
+
+
+def newest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The newest row of each ``_key`` in the rows of a task, which holds little more than that."""
+    held, new, rows, schema = None, [], 0, None
+    for batch in batches:
+        schema = batch.schema
+        new.append(batch.to_pandas())
+        rows += batch.num_rows
+        if rows >= HELD + (0 if held is None else len(held)):
+            held, new, rows = _last_of_each([held, *new]), [], 0
+    if schema is not None:
+        yield from pa.Table.from_pandas(_last_of_each([held, *new]), schema, preserve_index=False).to_batches(HELD)
+
+
+def _last_of_each(parts: list[pd.DataFrame | None]) -> pd.DataFrame:
+    rows = pd.concat([part for part in parts if part is not None], ignore_index=True)
+    return rows.sort_values("_pos", kind="stable").drop_duplicates("_key", keep="last")
+
+
 class _Newer(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "pos LONG")
@@ -60,12 +84,14 @@ class _Newer(StatefulProcessor):
 def newer_only(records: DataFrame, pos: str = "position") -> DataFrame:
     """Of a stream of ``key, value`` records and their positions, those newer than all before of their key: ``key, position, value``.
 
-    In one batch the newest record of a key stands for the others. What was delivered again, or late, is dropped; the state
-    holds one position a key, for as long as there may be such a delivery.
+    In one batch the newest record of a key stands for the others, and is the only one that the state sees. What was delivered
+    again, or late, is dropped; the state holds one position a key, for as long as there may be such a delivery.
     """
     if not records.isStreaming:
         raise ValueError("newer_only takes a stream; compact takes a batch")
     rows = records.select(F.col("key").alias("_key"), "key", "value", F.col(pos).cast("bigint").alias("_pos"))
+    schema = rows.schema
+    rows = rows.where(F.col("_pos").isNotNull()).repartition("_key").mapInArrow(newest, schema)
     return rows.groupBy("_key").transformWithState(
         statefulProcessor=_Newer(),
         outputStructType="key STRING, position BIGINT, value STRING",

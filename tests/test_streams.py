@@ -4,6 +4,7 @@ import json
 import random
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -21,6 +22,7 @@ from changeflow.operators.route import route_outbox
 from changeflow.plans import queries_stream
 from changeflow.session import work_dir
 from changeflow.sources import derived
+from changeflow.streaming import delivery
 from changeflow.streaming.alerts import alert_live, alert_transitions_live
 from changeflow.streaming.delivery import from_headers, newer_only, with_headers
 from changeflow.streaming.live import (
@@ -527,3 +529,17 @@ def test_batches_do_not_grow_with_the_files_of_a_log(spark, small):
     found = batches(spark.readStream.schema("value STRING").option("maxFilesPerTrigger", files).parquet(path))
     tables = [spark.read.parquet(f"{small}/{name}.parquet").count() for name in ("orders", "customer", "events")]
     assert sum(found) == sum(tables) and 2 < len(found) <= 9
+
+
+def test_a_task_sends_one_record_of_a_key_to_the_state(monkeypatch):
+    draw, names = random.Random(3), ["_key", "key", "value", "_pos"]
+    log = [(f"k{draw.randrange(5)}" if p % 7 else None, f"v{p}", 2**60 + p) for p in range(200)]
+    sent = [*log, *draw.sample(log, 50)]
+    draw.shuffle(sent)
+    parts = [pa.RecordBatch.from_pylist([dict(zip(names, (k, k, v, p), strict=True)) for k, v, p in sent[at : at + 25]]) for at in range(0, 250, 25)]
+    want = {key: (value, pos) for key, value, pos in log}
+    for held in (40, 100_000):
+        monkeypatch.setattr(delivery, "HELD", held)
+        got = [row for batch in delivery.newest(iter(parts)) for row in batch.to_pylist()]
+        assert len(got) == len(want) and {g["_key"]: (g["value"], g["_pos"]) for g in got} == want
+    assert list(delivery.newest(iter([]))) == []
