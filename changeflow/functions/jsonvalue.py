@@ -6,6 +6,7 @@ path, and new fields are joined to the text, so that nothing in it is written ag
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -112,11 +113,21 @@ def put_text(text: Column, new: dict[str, Column]) -> Column:
     fields = F.to_json(F.struct(*[column.alias(name) for name, column in new.items()]), {"ignoreNullFields": "false"})
     opened = F.regexp_replace(fields, r"\}\z", "")
     joined = F.concat(opened, F.when(rest.startswith("}"), F.lit("")).otherwise(F.lit(",")), rest)
-    clashes = reduce(Column.__or__, [found.has(name) for name in new])
+    clashes = reduce(Column.__or__, [_may_have(text, name) & found.has(name) for name in new])
     rewritten = F.to_json(put_fields(found.fields(), new))
     return F.when(F.col("_object").isNull(), text).when(F.col("_whole") & ~clashes, joined).otherwise(rewritten)
 
 
+def _may_have(text: Column, name: str) -> Column:
+    """False only where no field of the object in a text can have the name, told without the object.
+
+    A name of letters, digits and underscores stands in the text as it is, unless a ``\\u`` escape hides it.
+    """
+    if not re.fullmatch(r"\w+", name, re.ASCII):
+        return F.lit(True)
+    return text.contains(name) | text.contains("\\u")
+
+
 # --- objects as maps ----------------------------------------------------------------------------------------------
 
 

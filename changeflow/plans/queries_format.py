@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.functions.decimals import decode_decimal, encode_decimal
-from changeflow.functions.jsonvalue import canonical_json, json_map
+from changeflow.functions.jsonvalue import canonical_json, json_map, json_object
 from changeflow.operators.enrich import enrich_json, enrich_map, enrich_struct, project_tagged, tag_event
 from changeflow.operators.envelope import (
     extract_row,
@@ -262,7 +262,7 @@ def _raw_topic_records(spark: SparkSession, folder: str) -> DataFrame:
 def _(spark: SparkSession, folder: str) -> DataFrame:
     enriched = enrich_json(_raw_topic_records(spark, folder), "datastream-cdc", LINK_PREFIX, NOW)
     fields = "id BIGINT, after STRUCT<id: BIGINT>, variant STRING, topic STRING, transformed_at BIGINT"
-    complete = F.when(json_map(F.col("value")).isNotNull(), F.from_json("value", fields))
+    complete = F.when(json_object(F.col("value")).exists(), F.from_json("value", fields))
     return enriched.withColumn("e", complete).select(
         "src",
         F.coalesce("e.after.id", "e.id").alias("id"),

@@ -234,3 +234,12 @@ def test_route_by_table(spark):
 def test_topic_catalog(spark):
     frame = spark.createDataFrame([("a", 0), ("a", 0), ("a", 1), ("b", 5)], "topic STRING, partition INT")
     assert sorted(tuple(r) for r in topic_catalog(frame).collect()) == [("a", 3, 2), ("b", 1, 1)]
+
+
+def test_fields_are_looked_up_only_in_texts_that_may_have_them(spark, capsys):
+    sent = ['{"id":1}', '{"\\u0074opic":"old"}', r'{"a":"\\u"}', '{"a":"topic"}', r'{"a":"{\"k\": 1}"}', '{"topic":"old"}']
+    tagged = tag_event(texts(spark, sent), "p")
+    added = {"variant": "datastream-cdc", "topic": "p.datastream.orders"}
+    assert [json.loads(r.value) for r in rows(tagged)] == [{**json.loads(t), **added} for t in sent]
+    tagged.explain(True)
+    assert "Contains(value" in capsys.readouterr().out
