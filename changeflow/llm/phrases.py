@@ -95,10 +95,13 @@ def _bit(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def bitmap_of(bits: DataFrame, size: int) -> np.ndarray:
-    """A bitmap of ``size`` bits with those of the column ``bit``: that is what reaches the driver, however many rows there are."""
+    """A bitmap of ``size`` bits with those of the column ``bit``: that is what reaches the driver, however many rows there are.
+
+    It comes in one job, not in one for each partition: the driver keeps a record of every job, stage and task.
+    """
     parts = bits.groupBy((F.col("bit") / 32768).cast("int").alias("part"))
     bitmap = np.zeros(size // 8, np.uint8)
-    for part, held in parts.agg(F.bitmap_construct_agg((F.col("bit") % 32768).cast("long"))).toLocalIterator():
+    for part, held in parts.agg(F.bitmap_construct_agg((F.col("bit") % 32768).cast("long"))).collect():
         bitmap[part * 4096 : (part + 1) * 4096] = np.frombuffer(held, np.uint8)
     return bitmap
 
